@@ -8,13 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..common import load
-from . import runs, tokens
+from . import endings, mojibake, runs, tokens
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.collapse_runs(load(spark, sf_dir, "pass1_progress"))
 
 
+def _captions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return endings.caption_values(*(load(spark, sf_dir, t) for t in ("stage2_refined", "stage3_polished", "pass3_final")))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return endings.truncated(_captions(spark, sf_dir)).select("field", "run_id", "item_id")
+
+
+def p5_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = _captions(spark, sf_dir)
+    return endings.rates(values, endings.truncated(values))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_ids(load(spark, sf_dir, "documents"), tokens.vocabulary_path(spark))
 
@@ -23,8 +36,24 @@ def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.pack(load(spark, sf_dir, "documents"), tokens.vocabulary_path(spark))
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mojibake.garbled(load(spark, sf_dir, "documents")).select("doc_id")
+
+
+def p9_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mojibake.garbled(load(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p7_ids": p7_ids, "p8_packed": p8_packed}
+    return {
+        "p1_found": p1_found,
+        "p5_found": p5_found,
+        "p5_rates": p5_rates,
+        "p7_ids": p7_ids,
+        "p8_packed": p8_packed,
+        "p9_found": p9_found,
+        "p9_restored": p9_restored,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

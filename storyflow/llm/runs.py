@@ -39,7 +39,7 @@ def caption_key(caption: Column) -> Column:
     that it goes on at the end. Null for a null or blank caption. A caption of
     nothing but punctuation is its own key.
     """
-    k = F.regexp_replace(F.lower(caption), r"[^\p{L}\p{N}]+", " ")
+    k = F.regexp_replace(F.replace(F.lower(caption), F.lit("ß"), F.lit("ss")), r"[^\p{L}\p{N}]+", " ")
     k = F.regexp_replace(k, f"(?<={_HAN}) (?={_HAN})|的", "")
     k = F.regexp_replace(k, f"(?<={_HAN})(?=[^{_HAN} ])|(?<=[^{_HAN} ])(?={_HAN})", " ")
     k = F.trim(k)
@@ -52,11 +52,16 @@ def caption_key(caption: Column) -> Column:
 
 def same_telling(a: Column, b: Column, edits: int = 24) -> Column:
     """True if two keys differ in nothing or in slips of the pen only: word by
-    word the same letters, at most one exchange or two doublings in a word.
-    Another word, name or number is a difference. Null if either is null.
+    word the same, but for neighbouring letters exchanged or letters doubled, on
+    either side. Another word, name or number is a difference. Null if either
+    is null.
     """
-    letters = lambda w: F.array_sort(F.array_distinct(F.split(w, "")))
-    slip = lambda x, y: (x == y) | ((F.levenshtein(x, y, 2) >= 0) & (letters(x) == letters(y)))
+    letters = lambda w: F.array_sort(F.split(w, ""))
+    single = lambda w: F.regexp_replace(w, r"(.)\1+", "$1")
+    at = lambda w, i: F.substring(w, i, 1)
+    start = lambda x, y: (at(x, 1) == at(y, 1)) | ((at(x, 1) == at(y, 2)) & (at(x, 2) == at(y, 1)))
+    moved = lambda x, y: (letters(x) == letters(y)) | (letters(single(x)) == letters(single(y)))
+    slip = lambda x, y: (x == y) | ((F.levenshtein(x, y, 4) >= 0) & start(x, y) & moved(x, y))
     wa, wb = F.split(a, " "), F.split(b, " ")
     near = (
         (F.abs(F.length(a) - F.length(b)) <= edits)
