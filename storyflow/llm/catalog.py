@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..common import load
-from . import endings, mojibake, runs, tokens
+from . import endings, mojibake, pairs, repetition, runs, tokens
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.collapse_runs(load(spark, sf_dir, "pass1_progress"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.defects(load(spark, sf_dir, "stage2_refined"))
+
+
 def _captions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return endings.caption_values(*(load(spark, sf_dir, t) for t in ("stage2_refined", "stage3_polished", "pass3_final")))
 
@@ -28,6 +32,19 @@ def p5_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return endings.rates(values, endings.truncated(values))
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.text_values(*(load(spark, sf_dir, t) for t in ("pass1_progress", "stage2_refined", "stage3_polished")))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repetition.repetitive(_texts(spark, sf_dir))
+    return found.where(F.col("share") >= repetition.CASE_SHARE).select("field", "run_id", "item_id")
+
+
+def p6_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.repetitive(_texts(spark, sf_dir))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_ids(load(spark, sf_dir, "documents"), tokens.vocabulary_path(spark))
 
@@ -47,8 +64,11 @@ def p9_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
+        "p3_found": p3_found,
         "p5_found": p5_found,
         "p5_rates": p5_rates,
+        "p6_found": p6_found,
+        "p6_outliers": p6_outliers,
         "p7_ids": p7_ids,
         "p8_packed": p8_packed,
         "p9_found": p9_found,

@@ -199,9 +199,9 @@ def rates(values: DataFrame, cut_values: DataFrame) -> DataFrame:
         values.where(F.col("text").isNotNull() & ~F.col("text").rlike(r"^[\s\p{Z}\p{C}]*$"))
         .select("field", "source", "run_id", "item_id").distinct().groupBy("field", "source").agg(F.count(F.lit(1)).alias("n_values"))
     )
-    bad = cut_values.groupBy("field", "source").agg(F.count(F.lit(1)).alias("n_cut"))
-    same = [total[c].eqNullSafe(bad[c]) for c in ("field", "source")]
-    out = total.join(bad, same[0] & same[1], "left").select(total["field"], total["source"], "n_values", F.coalesce("n_cut", F.lit(0)).alias("n_cut"))
+    bad = cut_values.groupBy(F.col("field").alias("f"), F.col("source").alias("s")).agg(F.count(F.lit(1)).alias("n_cut"))
+    out = total.join(bad, F.col("field").eqNullSafe(F.col("f")) & F.col("source").eqNullSafe(F.col("s")), "left")
+    out = out.select("field", "source", "n_values", F.coalesce("n_cut", F.lit(0)).alias("n_cut"))
     return out.withColumn("share", F.col("n_cut") / F.col("n_values"))
 
 
