@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import training
+from . import timing, training
 
-_MODULES = (training,)
+_MODULES = (training, timing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
