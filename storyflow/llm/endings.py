@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -68,71 +68,70 @@ def unclosed(text: str) -> list[tuple[str, int]]:
     return stack
 
 
-def _sentence_frames(s: str) -> tuple[str, str, str, str] | None:
-    """The frames of one sentence: its beginning with its ending, its last
-    clause's beginning with its ending, its beginning with its last word, and
-    its last three words. Names count as one word."""
-    s = NAME.sub(" 〇 ", s)
+def _bare(text: str) -> str:
+    """A text without what may stand after its end: blanks, closing quotes,
+    signs, remarks that it ends, dots of omission. Only its last stretch is
+    looked at, and again while all of that falls away."""
+    while text:
+        stretch = text[-96:]
+        kept = _AFTER.sub("", stretch)
+        if m := _BREAK.search(kept):
+            kept = _AFTER.sub("", kept[: m.start()])
+        text = text[: len(text) - len(stretch)] + kept
+        if kept:
+            return text
+    return text
+
+
+def sentence_frames(s: str) -> tuple[str, str, str, str] | None:
+    """The frames of one sentence with its names masked: its beginning with its
+    ending, its last clause's beginning with its ending, its beginning with its
+    last word, and its last three words. Names count as one word; a name alone
+    is no sentence."""
     words = WORD.findall(s.lower())
     if words.count("〇") == len(words):
-        return None  # no word, or a name alone
+        return None
     head, tail = " ".join(words[:2]), " ".join(words[-2:])
     clause = WORD.findall(CLAUSE.split(s.rstrip(",;:，；：、 "))[-1].lower())[:2]
     return f"s{head}|{tail}", f"c{' '.join(clause)}|{tail}", f"w{head}|{words[-1]}", f"e{' '.join(words[-3:])}"
 
 
 class Endings:
-    """Collects frames of whole sentences and tells what a value's end is."""
+    """Collects whole sentences and tells what a value's end is."""
 
-    def __init__(self, cache: int = 50_000):
+    def __init__(self) -> None:
         self.seen: Counter[str] = Counter()
-        self.cache: dict[str, tuple[str, str, str, str] | None] = {}
-        self.limit = cache
-
-    def frames(self, s: str) -> tuple[str, str, str, str] | None:
-        if s not in self.cache:
-            if len(self.cache) >= self.limit:
-                self.cache.clear()
-            self.cache[s] = _sentence_frames(s)
-        return self.cache[s]
-
-    def learn(self, sentences: Iterable[str]) -> None:
-        for s in sentences:
-            if (f := self.frames(s)) is not None:
-                for x in f:
-                    self.seen[x] += 1
 
     def read(self, text: str) -> tuple[str, list[int] | None]:
         """("blank" | "whole" | "cut" | "open", keys of an open end). Learns
         from all sentences that are known to be whole."""
         if no_answer(text):
             return "blank", None
-        parts = [p for p in SENTENCES.split(text) if p]
-        bare = _AFTER.sub("", text)
-        broken = _BREAK.search(bare)
-        if broken:
-            bare = _AFTER.sub("", bare[: broken.start()])
-        if not bare:
-            return "blank", None
+        bare = _bare(text)
         ends = bare.rstrip(_CLOSERS)
-        if ends[-1:] and ends[-1] in _TERMINAL:
-            self.learn(parts)
+        if not ends:
+            return "blank", None
+        if ends[-1] in _TERMINAL:
+            self.seen.update(p for p in SENTENCES.split(NAME.sub(" 〇 ", text)) if p)
             return "whole", None
-        last = next((i for i in range(len(parts) - 1, -1, -1) if WORD.search(_AFTER.sub("", parts[i]))), 0)
-        self.learn(parts[:last])
-        if bare[-1] == "�" or _ESCAPE_CUT.search(bare):
+        parts = [p for p in SENTENCES.split(NAME.sub(" 〇 ", bare)) if p]
+        sentence = parts.pop() if parts else ""
+        self.seen.update(parts)
+        if bare[-1] == "�" or _ESCAPE_CUT.search(bare[-12:]):
             return "cut", None
-        sentence = SENTENCES.split(bare)[-1]
-        start = len(bare) - len(sentence)
-        if any(at >= start and mark in "[【（({「『<" for mark, at in unclosed(bare)) or bare[-1] in ",;:，；：、-–—":
+        if any(mark in "[【（({「『<" for mark, _ in unclosed(sentence)) or bare[-1] in ",;:，；：、-–—":
             return "cut", None
-        f = self.frames(sentence)
+        f = sentence_frames(sentence)
         return ("open", [key(x) for x in f]) if f else ("cut", None)
 
     def drain(self) -> list[tuple[int, int]]:
-        out = [(key(k), n) for k, n in self.seen.items()]
+        """(key, count) of the frames of all sentences since the last call."""
+        frames: Counter[str] = Counter()
+        for s, n in self.seen.items():
+            for x in sentence_frames(s) or ():
+                frames[x] += n
         self.seen.clear()
-        return out
+        return [(key(k), n) for k, n in frames.items()]
 
 
 ROW = pa.schema(

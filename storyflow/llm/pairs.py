@@ -53,7 +53,7 @@ def is_refusal(text: str) -> bool:
     Quoted speech and what signs say is not the speaker's; a text that goes on
     to name the persons of the scene does not refuse.
     """
-    if not _CORE.search(text) or _NARRATED.search(text):
+    if _NARRATED.search(text) or not _CORE.search(text):
         return False
     plain = _QUOTED.sub(" ", text)
     if len(plain) < 0.5 * len(text):
@@ -163,8 +163,6 @@ def defects(pairs: DataFrame) -> DataFrame:
         for b in batches:
             items = []
             for run_id, event, prompt, response in zip(*(c.to_pylist() for c in b.columns)):
-                if prompt:
-                    endings.read(prompt)  # prompts add to the baseline of whole sentences
                 if (kind := certain_defect(prompt, response)) is not None:
                     items.append((kind, None, run_id, event, None, None))
                     continue
