@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import timing, training
+from . import narrative, people, timing, training
 
-_MODULES = (training, timing)
+_MODULES = (training, timing, people, narrative)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
