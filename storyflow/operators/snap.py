@@ -25,11 +25,21 @@ def timed(texts: Column) -> Column:
 
 
 def nearest(allowed: Column, target: Column) -> Column:
-    """struct(sec, txt) of the allowed time nearest to ``target``; one within a
-    hundredth first, ties to the earlier. ``allowed`` is sorted by sec."""
-    exact = F.get(F.filter(allowed, lambda w: F.abs(w["sec"] - target) < 0.01), F.lit(0))
-    ranked = F.array_min(F.transform(allowed, lambda w: F.struct(F.abs(w["sec"] - target).alias("d"), w["sec"].alias("sec"), w["txt"].alias("txt"))))
-    return F.coalesce(exact, F.when(ranked.isNotNull(), F.struct(ranked["sec"].alias("sec"), ranked["txt"].alias("txt"))))
+    """struct(d, sec, txt) of the allowed time nearest to ``target``; one within
+    a hundredth first, ties to the earlier. Null for an empty array."""
+
+    def ranked(w: Column) -> Column:
+        d = F.abs(w["sec"] - target)
+        return F.struct(F.when(d < 0.01, -1.0).otherwise(d).alias("d"), w["sec"].alias("sec"), w["txt"].alias("txt"))
+
+    return F.array_min(F.transform(allowed, ranked))
+
+
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that are computed once: a generated row is not inlined into
+    the expressions that use it."""
+    row = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("_row")
+    return df.select("*", row).select(*df.columns, *[F.col(f"_row.{n}").alias(n) for n in columns])
 
 
 def snap_events(events: DataFrame) -> DataFrame:
@@ -42,24 +52,23 @@ def snap_events(events: DataFrame) -> DataFrame:
     half a second outside the chunk to the allowed time at that edge. With an
     empty whitelist nothing is changed; unreadable times read as 0.
     """
-    e = events.withColumnRenamed("allowed", "_w")
-    none = F.size("_w") == 0
-    e = e.withColumns({"_a": nearest(F.col("_w"), parse_seconds(F.col("start_time"))), "_b": nearest(F.col("_w"), parse_seconds(F.col("end_time")))})
+    e = _once(events, _t1=parse_seconds(F.col("start_time")), _t2=parse_seconds(F.col("end_time")))
+    low, high = F.col("chunk_start") - 0.1, F.col("chunk_end") + 0.1
+    e = _once(
+        e,
+        _a=nearest(F.col("allowed"), F.col("_t1")),
+        _b=nearest(F.col("allowed"), F.col("_t2")),
+        _lo=F.array_min(F.filter("allowed", lambda w: w["sec"] >= low))["txt"],
+        _hi=F.array_max(F.filter("allowed", lambda w: w["sec"] <= high))["txt"],
+    )
     turned = F.col("_a.sec") > F.col("_b.sec")
-    e = e.withColumns({"_s": F.when(turned, F.col("_b")).otherwise(F.col("_a")), "_e": F.when(turned, F.col("_a")).otherwise(F.col("_b"))})
+    e = _once(e, _s=F.when(turned, F.col("_b")).otherwise(F.col("_a")), _e=F.when(turned, F.col("_a")).otherwise(F.col("_b")))
+    none = F.size("allowed") == 0
     e = e.where(none | (F.col("_e.sec") - F.col("_s.sec") >= 0.1))
-    left = F.get(F.filter("_w", lambda w: w["sec"] >= F.col("chunk_start") - 0.1), F.lit(0))
-    right = F.element_at(F.filter("_w", lambda w: w["sec"] <= F.col("chunk_end") + 0.1), -1)
-    right = F.when(F.exists("_w", lambda w: w["sec"] <= F.col("chunk_end") + 0.1), right)
-    s = F.when(F.col("_s.sec") < F.col("chunk_start") - 0.5, F.coalesce(left, F.col("_s"))).otherwise(F.col("_s"))
-    t = F.when(F.col("_e.sec") > F.col("chunk_end") + 0.5, F.coalesce(right, F.col("_e"))).otherwise(F.col("_e"))
-    e = e.withColumns({"_s2": s, "_e2": t})
-    return e.withColumns(
-        {
-            "start_time": F.when(none, F.col("start_time")).otherwise(F.col("_s2.txt")),
-            "end_time": F.when(none, F.col("end_time")).otherwise(F.col("_e2.txt")),
-        }
-    ).drop("_w", "_a", "_b", "_s", "_e", "_s2", "_e2")
+    s = F.when(F.col("_s.sec") < F.col("chunk_start") - 0.5, F.coalesce("_lo", "_s.txt")).otherwise(F.col("_s.txt"))
+    t = F.when(F.col("_e.sec") > F.col("chunk_end") + 0.5, F.coalesce("_hi", "_e.txt")).otherwise(F.col("_e.txt"))
+    out = {"start_time": F.when(none, F.col("start_time")).otherwise(s), "end_time": F.when(none, F.col("end_time")).otherwise(t)}
+    return e.withColumns(out).select(*events.columns)
 
 
 def outside_key_frames(frames: Column, start: Column, end: Column) -> Column:
