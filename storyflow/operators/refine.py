@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.timecode import parse_seconds
 
 
-def adjusted_start(events: DataFrame, key: str, order: list[str], offset: float = 0.1) -> DataFrame:
+def adjusted_start(events: DataFrame, key: str, order: list[str], offset: float = 0.5) -> DataFrame:
     """Adds start_sec, end_sec and actual_start: an event that begins where the
     one before it in the whole video ended starts a little later, never past a
     hundredth before its own end. Events whose end is not after their start are

@@ -242,7 +242,7 @@ SQL = {
     ),
     "stage2_start_adjust": (
         f"WITH {P.PAIRS},x AS (SELECT run_id,event_id,{P.seconds('start_time')} AS start_sec,{P.seconds('end_time')} AS end_sec,ch_idx FROM pr),y AS (SELECT *,lag(end_sec) OVER (PARTITION BY run_id ORDER BY ch_idx,event_id) AS pe FROM x)"
-        "SELECT run_id,event_id,start_sec,end_sec,CASE WHEN abs(start_sec-pe)<0.01 AND start_sec>0 THEN least(start_sec+0.1::DOUBLE,greatest(start_sec,end_sec-0.01::DOUBLE)) ELSE start_sec END AS actual_start FROM y WHERE end_sec>start_sec"
+        "SELECT run_id,event_id,start_sec,end_sec,CASE WHEN abs(start_sec-pe)<0.01 AND start_sec>0 THEN least(start_sec+0.5::DOUBLE,greatest(start_sec,end_sec-0.01::DOUBLE)) ELSE start_sec END AS actual_start FROM y WHERE end_sec>start_sec"
     ),
     "previous_caption": f"WITH {P.PAIRS} SELECT run_id,event_id,COALESCE(last_value(nullif(frame_caption,'') IGNORE NULLS) OVER (PARTITION BY run_id,ch_idx ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),'') AS previous FROM pr",
     "refine_progress": f"WITH {P.PAIRS} SELECT run_id,count(*) AS total,count(*) FILTER (COALESCE(frame_caption,'')<>'') AS done,count(*)-count(*) FILTER (COALESCE(frame_caption,'')<>'') AS remaining FROM pr GROUP BY 1",
