@@ -31,7 +31,7 @@ _AFTER = re.compile(rf"(?:\s|[​-‏﻿]|[{_EMOJI}♪*_~`]|[(（]{_REMARK}[)）
 _BREAK = re.compile(r"(?:\s*(?:\[\s*(?:\.\.\.|…)\s*\]|\(\s*(?:\.\.\.|…)\s*\)|\.{2,}|…+|。。+))+$")
 _PAIRS = {"[": "]", "(": ")", "{": "}", "【": "】", "「": "」", "『": "』", "（": "）", "“": "”", "«": "»", "„": "“", "《": "》", "<": ">"}
 _CLOSE = {c: o for o, c in _PAIRS.items() if o not in "„<"}
-_TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*)[^<>]*(/?)>")
+_TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*)[^<>]*>")
 _ESCAPE_CUT = re.compile(r"(?:\\(?:u[0-9a-fA-F]{0,3}|x[0-9a-fA-F]?)?|&(?:#[0-9]{0,6}|[A-Za-z]{1,8})|%[0-9A-Fa-f]?)$")
 
 
@@ -45,7 +45,7 @@ def unclosed(text: str) -> list[tuple[str, int]]:
         if i < skip:
             continue
         if c == "<":
-            if (m := tags.get(i)) and not m[3]:
+            if (m := tags.get(i)) and not m[0].endswith("/>"):
                 skip = m.end()
                 if not m[1]:
                     stack.append((f"<{m[2].lower()}>", i))

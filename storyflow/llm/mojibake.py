@@ -118,7 +118,7 @@ def _word_cost(w: str) -> float:
     prev_lower = prev_cls = None
     for c in w:
         cls = "ascii" if c < "\x80" else _char(c)[1]
-        if cls in ("latin",):
+        if cls == "latin" and c < "\u0100":
             run += 1
             if run >= 3:
                 cost += 0.1 if w.isupper() else 0.8
