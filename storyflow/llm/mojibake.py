@@ -26,6 +26,7 @@ WRONG = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1251", "koi8-r",
 RIGHT = ("utf-8", "gb18030", "cp1251", "koi8-r", "cp1252", "cp866", "mac_roman", "cp437", "cp850", "big5", "cp932")
 
 _DOUBLE = {"gb18030", "big5", "cp932", "cp949"}
+_DOUBLE_WRONG = _DOUBLE | {"cp949"}
 _PAIRED = re.compile(r"[^\x00-\x7f]{6}")
 _FIVE = "".join(map(chr, range(0x80, 0xA0)))
 _C1 = re.compile(r"[\x80-\x84\x86-\x9f]")
@@ -33,11 +34,14 @@ _LOST = "�"
 _VOWELS = set("аеёиоуыэюяіїє")
 _WORD = re.compile(r"[^\W\d_]+")
 _NON_ASCII = re.compile(r"[^\x00-\x7f]")
-_RUN = re.compile(r"[^\x00-\x7f]+(?:[ -~]{0,2}[^\x00-\x7f]+)*")
+_RUN = re.compile(r"[A-Za-z]*[^\x00-\x7f]+(?:[ -~]{0,2}[^\x00-\x7f]+)*[A-Za-z]*")
 _SEGMENT = re.compile(r"[^\n]*?(?:[.!?](?=\s|[^\x00-\x7f])|[。！？]|\n|$)", re.S)
 _SIDES = re.compile(r"[\u2e80-\u9fff\uff00-\uff60]+|[^\u2e80-\u9fff\uff00-\uff60]+")
 _STRAY_LETTER = re.compile(r"(?<![^\W\d_])[^\W\d_](?![^\W\d_])")
-_GLUED = re.compile(r"[^\W\d_][^\w\s\x00-\x7f‘’ʼ“”«»„…–—·‐‑\u00ad\u0300-\u036f\u3000-\u303f\uff00-\uff60\u200b-\u200d\ufe0f\U0001f000-\U0001faff\u2600-\u27bf\u2022]+(?=[^\W\d_])")
+_GLUED = re.compile(r"[^\W\d_][^\w\s\x00-\x7f‘’ʼ…–—·‐‑\u00ad\u0300-\u036f\u3000-\u303f\uff00-\uff60\u200b-\u200d\ufe0f\U0001f000-\U0001faff\u2600-\u27bf\u2022]+(?=[^\W\d_])")
+_SUMS = re.compile(r"[\u2190-\u22ff](?=[^\W\d_])|(?<=[^\W\d_])[\u2190-\u22ff]")
+_HANGING = re.compile(r"(?<=\s)[–—](?=[^\W\d_])")
+_RAISED = re.compile(r"(?<=[^\W\d_])[²³¹¼½¾ªº](?=[^\W\d_])")
 #: A two-byte character of UTF-8 seen as two characters of Latin-1.
 _PAIR = re.compile(r"[\u00c2-\u00df][\u0080-\u00bf]")
 _SINGLES = set("àáâèéêìíîòóôùúûÀÁÂÈÉÊÌÍÎÒÓÔÙÚÛåøæöäüÅØÆÖÄÜß")
@@ -103,10 +107,12 @@ def _char(c: str) -> tuple[float, str]:
         return 0.3, "greek"
     if cat[0] == "L":
         return 0.6, "other"
-    if c in "–—‘’“”„«»…‹›·•°€£¥§©®™½¼¾×÷±²³¹¿¡№→←↑↓☆★♪、。，！？；：（）【】「」『』《》〈〉～\u00a0\u3000\u200d\u200b\u200c\u00ad\u2010\u2011\u2009\u202f\ufeff":
+    if c in "–—‘’“”„«»…‹›·•°€£¥§©®™½¼¾×÷±²³¹¿¡№→←↑↓☆★♪、。，！？；：（）【】「」『』《》〈〉～\u00a0\u3000\u200d\u200b\u200c\u2010\u2011\u2009\u202f\ufeff":
         return 0.02, "mark"
     if 0x1F000 <= o <= 0x1FAFF or 0x2600 <= o <= 0x27BF or 0xFE00 <= o <= 0xFE0F or 0xFF00 <= o <= 0xFF60:
         return 0.02, "mark"
+    if c == "\u00ad":
+        return 0.2, "mark"
     if cat[0] == "M":
         return 0.4, "mark"
     return (0.05 if cat == "Sm" and o >= 0x2200 or 0x2190 <= o <= 0x21FF else 0.35), "sign"
@@ -169,6 +175,7 @@ def cost(text: str) -> float:
         w = m.group()
         if not w.isascii():
             total += _word_cost(w)
+    total += 0.7 * len(_RAISED.findall(text)) + 0.3 * len(_HANGING.findall(text)) + 0.4 * len(_SUMS.findall(text))
     total += 0.7 * len(_GLUED.findall(text)) + 0.5 * len(_PAIR.findall(text))
     for m in _STRAY_LETTER.finditer(text):
         c = m.group()
@@ -211,6 +218,8 @@ def neighbours(text: str, strong_only: bool = False) -> Iterator[tuple[str, bool
         for right in RIGHT:
             if right == wrong or (strong_only and right != "utf-8"):
                 continue
+            if wrong in _DOUBLE_WRONG and right != "utf-8" and right not in _DOUBLE:
+                continue  # two bytes to a character: such text is not cut into single ones again
             if right in _DOUBLE and not _PAIRED.search(text):
                 continue  # two-byte characters leave long stretches outside ASCII
             out = _decode(data, right)
