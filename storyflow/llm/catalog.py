@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..common import load
+from ..common import load, shipped
 from . import endings, mojibake, pairs, repetition, runs, tokens
 
 
@@ -62,7 +62,7 @@ def p9_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    made = {
         "p1_found": p1_found,
         "p3_found": p3_found,
         "p5_found": p5_found,
@@ -74,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p9_found": p9_found,
         "p9_restored": p9_restored,
     }
+    return {k: shipped(f) for k, f in made.items()}
 
 
 def oracle_sql() -> dict[str, str]:

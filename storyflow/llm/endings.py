@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -96,11 +96,18 @@ def sentence_frames(s: str) -> tuple[str, str, str, str] | None:
     return f"s{head}|{tail}", f"c{' '.join(clause)}|{tail}", f"w{head}|{words[-1]}", f"e{' '.join(words[-3:])}"
 
 
+#: The key under which the number of sentences is kept.
+TOTAL = key("all sentences")
+#: A frame belongs to the baseline from this share of all sentences on.
+LEAST_SHARE = 1e-5
+
+
 class Endings:
     """Collects whole sentences and tells what a value's end is."""
 
     def __init__(self) -> None:
         self.seen: Counter[str] = Counter()
+        self.total = 0
 
     def read(self, text: str) -> tuple[str, list[int] | None]:
         """("blank" | "whole" | "cut" | "open", keys of an open end). Learns
@@ -112,11 +119,11 @@ class Endings:
         if not ends:
             return "blank", None
         if ends[-1] in _TERMINAL:
-            self.seen.update(p for p in SENTENCES.split(NAME.sub(" 〇 ", text)) if p)
+            self._learn(p for p in SENTENCES.split(NAME.sub(" 〇 ", text)) if p)
             return "whole", None
         parts = [p for p in SENTENCES.split(NAME.sub(" 〇 ", bare)) if p]
         sentence = parts.pop() if parts else ""
-        self.seen.update(parts)
+        self._learn(parts)
         if bare[-1] == "�" or _ESCAPE_CUT.search(bare[-12:]):
             return "cut", None
         if any(mark in "[【（({「『<" for mark, _ in unclosed(sentence)) or bare[-1] in ",;:，；：、-–—":
@@ -124,14 +131,23 @@ class Endings:
         f = sentence_frames(sentence)
         return ("open", [key(x) for x in f]) if f else ("cut", None)
 
+    def _learn(self, sentences: Iterable[str]) -> None:
+        """A sentence counts once for a text: a text that repeats a fragment
+        does not make it an ending."""
+        own = set(sentences)
+        self.seen.update(own)
+        self.total += len(own)
+
     def drain(self) -> list[tuple[int, int]]:
         """(key, count) of the frames of all sentences since the last call."""
         frames: Counter[str] = Counter()
         for s, n in self.seen.items():
             for x in sentence_frames(s) or ():
                 frames[x] += n
+        out = [(key(k), n) for k, n in frames.items()] + [(TOTAL, self.total)]
         self.seen.clear()
-        return [(key(k), n) for k, n in frames.items()]
+        self.total = 0
+        return out
 
 
 ROW = pa.schema(
@@ -148,13 +164,18 @@ def rows(items: list[tuple], frames: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, ROW)], schema=ROW)
 
 
-def judge_open(marked: DataFrame, least: int = 1) -> DataFrame:
+def judge_open(marked: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
     """The open ends of ``marked`` that no whole sentence's end looks like.
 
     An end counts as whole if its last three words end sentences elsewhere and
-    one of its frames with a beginning does so too, each ``least`` times or more.
+    one of its frames with a beginning does so too, each often enough. What is
+    often enough follows the size of the corpus; only the number of its
+    sentences comes to the driver.
     """
-    baseline = marked.where("what = 'frame'").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key")
+    counts = marked.where("what = 'frame'")
+    total = counts.where(F.col("key") == TOTAL).agg(F.sum("n")).first()[0] or 0
+    least = max(1, int(least_share * total))
+    baseline = counts.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key")
     ends = marked.where("what = 'open'").select("field", "run_id", "item_id", "source", "keys").dropDuplicates(["field", "run_id", "item_id"])
     asked = ends.select("field", "run_id", "item_id", "source", F.posexplode("keys").alias("i", "key"))
     hit = asked.join(baseline.withColumn("known", F.lit(1)), "key", "left")
@@ -180,7 +201,7 @@ def mark(values: DataFrame) -> DataFrame:
     return values.where(F.col("text").isNotNull()).select("field", "run_id", "item_id", "source", "text").mapInArrow(run, ROW_DDL)
 
 
-def truncated(values: DataFrame, least: int = 1) -> DataFrame:
+def truncated(values: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
     """(field, run_id, item_id, source) of each value that breaks off.
 
     Null, blank and "no answer" values are none; a value delivered again counts
@@ -189,7 +210,7 @@ def truncated(values: DataFrame, least: int = 1) -> DataFrame:
     """
     marked = cut(mark(values))
     sure = marked.where("what = 'cut'").select("field", "run_id", "item_id", "source").dropDuplicates(["field", "run_id", "item_id"])
-    return sure.unionByName(judge_open(marked, least)).dropDuplicates(["field", "run_id", "item_id"])
+    return sure.unionByName(judge_open(marked, least_share)).dropDuplicates(["field", "run_id", "item_id"])
 
 
 def rates(values: DataFrame, cut_values: DataFrame) -> DataFrame:
