@@ -2,11 +2,54 @@
 
 from __future__ import annotations
 
+import functools
+import io
 import os
 import tempfile
+import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make sure that Python workers can import this package.
+
+    Where its folder is on PYTHONPATH there is nothing to do; else a zip of its
+    sources goes to the executors once for each application, through Spark's own
+    file server.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    on_path = {os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
+    app = spark.sparkContext.applicationId
+    if root in on_path or app in _SHIPPED:
+        return
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(os.path.join(root, "storyflow")):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, root))
+    path = os.path.join(tempfile.mkdtemp(prefix="storyflow-"), "storyflow.zip")
+    with open(path, "wb") as out:
+        out.write(data.getvalue())
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
+def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A query that ships the package before it plans anything."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """Read one table of a data directory."""

@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..common import shipped
 from . import narrative, people, timing, training
 
 _MODULES = (training, timing, people, narrative)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for m in _MODULES for k, f in m.QUERIES.items()}
+    return {k: shipped(f) for m in _MODULES for k, f in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
