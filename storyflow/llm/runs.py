@@ -62,7 +62,7 @@ def same_telling(a: Column, b: Column, edits: int = 24) -> Column:
     start = lambda x, y: (at(x, 1) == at(y, 1)) | ((at(x, 1) == at(y, 2)) & (at(x, 2) == at(y, 1)))
     moved = lambda x, y: (letters(x) == letters(y)) | (letters(single(x)) == letters(single(y)))
     kinds = lambda w: F.array_sort(F.array_distinct(F.split(w, "")))
-    both = lambda x, y: (F.length(x) >= 7) & (F.abs(F.length(x) - F.length(y)) == 1) & (F.levenshtein(x, y, 2) >= 0) & (kinds(x) == kinds(y))
+    both = lambda x, y: (F.greatest(F.length(x), F.length(y)) >= 6) & (F.abs(F.length(x) - F.length(y)) == 1) & (F.levenshtein(x, y, 2) >= 0) & (kinds(x) == kinds(y))
     slip = lambda x, y: (x == y) | ((F.levenshtein(x, y, 4) >= 0) & start(x, y) & (moved(x, y) | both(x, y)))
     wa, wb = F.split(a, " "), F.split(b, " ")
     near = (
