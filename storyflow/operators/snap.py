@@ -21,7 +21,7 @@ def whitelist(start: Column, times: Column) -> Column:
 def timed(texts: Column) -> Column:
     """Texts as a struct(sec, txt) array sorted by time; made once for a chunk,
     before its events are joined to it."""
-    return F.array_sort(F.transform(texts, lambda t: F.struct(parse_seconds(t).alias("sec"), t.alias("txt"))))
+    return F.array_sort(F.transform(texts, lambda t: F.named_struct(F.lit("sec"), parse_seconds(t), F.lit("txt"), t)))
 
 
 def nearest(allowed: Column, target: Column) -> Column:
@@ -30,7 +30,7 @@ def nearest(allowed: Column, target: Column) -> Column:
 
     def ranked(w: Column) -> Column:
         d = F.abs(w["sec"] - target)
-        return F.struct(F.when(d < 0.01, -1.0).otherwise(d).alias("d"), w["sec"].alias("sec"), w["txt"].alias("txt"))
+        return F.named_struct(F.lit("d"), F.when(d < 0.01, -1.0).otherwise(d), F.lit("sec"), w["sec"], F.lit("txt"), w["txt"])
 
     return F.array_min(F.transform(allowed, ranked))
 
