@@ -36,6 +36,8 @@ class Config:
     confidence_threshold: int = 80
     hard_split_threshold: int = 50
     review_enable: bool = True
+    review_frame_max_width: int = 0
+    review_jpg_quality: int = 92
     review_max_frames_per_cluster: int = 3
     review_temperature: float = 0.1
     review_max_tokens: int = 8192

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timecode import parse_seconds
+
 
 class Decoder(Protocol):
     def probe(self, path: str) -> dict | None:
@@ -21,6 +23,9 @@ class Decoder(Protocol):
     def frames(self, path: str, times: list[float], max_width: int, quality: int) -> list[tuple[float, bytes]]:
         """(time, JPEG) of the times that could be read."""
 
+    def clip(self, path: str, start: float, end: float, max_width: int, fps: float) -> tuple[list[float], bytes]:
+        """(times of the frames kept, MP4): every n-th frame of the inclusive range."""
+
     def scenes(self, path: str, threshold: float) -> list[tuple[float, float]]:
         """(start, end) in seconds."""
 
@@ -57,6 +62,36 @@ class OpenCvDecoder:
         finally:
             v.release()
 
+    def clip(self, path: str, start: float, end: float, max_width: int, fps: float) -> tuple[list[float], bytes]:
+        import os
+        import tempfile
+
+        import cv2
+
+        v = cv2.VideoCapture(path)
+        rate, w, h = v.get(cv2.CAP_PROP_FPS), v.get(cv2.CAP_PROP_FRAME_WIDTH), v.get(cv2.CAP_PROP_FRAME_HEIGHT)
+        scale = min(1.0, max_width / w) if max_width and max_width > 0 and w else 1.0
+        size, first, last = (int(w * scale), int(h * scale)), int(start * rate), int(end * rate)
+        step, times = max(1, round(rate / fps)), []
+        handle, name = tempfile.mkstemp(suffix=".mp4")  # the encoder's own scratch file, gone before the task ends
+        os.close(handle)
+        out = cv2.VideoWriter(name, cv2.VideoWriter_fourcc(*"mp4v"), fps, size)
+        try:
+            v.set(cv2.CAP_PROP_POS_FRAMES, first)
+            for i in range(first, last + 1):
+                ok, image = v.read()
+                if not ok:
+                    break
+                if (i - first) % step == 0:
+                    out.write(cv2.resize(image, size, interpolation=cv2.INTER_AREA))
+                    times.append(i / rate)
+            out.release()
+            with open(name, "rb") as f:
+                return times, f.read()
+        finally:
+            v.release()
+            os.remove(name)
+
     def scenes(self, path: str, threshold: float) -> list[tuple[float, float]]:
         from scenedetect import ContentDetector, detect
 
@@ -103,3 +138,25 @@ def grab(wanted: DataFrame, decoder: Decoder, key: str, max_width: int, quality:
                     yield pa.RecordBatch.from_arrays([pa.array([k] * len(ts), pa.string()), pa.array(range(len(ts)), pa.int32()), pa.array(ts, pa.float64()), pa.array(jpg, pa.binary())], names=[key, "ord", "ts", "jpeg"])
 
     return wanted.select(F.col(key).cast("string").alias(key), "path", "times").mapInArrow(run, f"{key} string, ord int, ts double, jpeg binary")
+
+
+def clips(wanted: DataFrame, decoder: Decoder, max_width: int, fps: float) -> DataFrame:
+    """(video_id, times, mp4) for rows (video_id, path, chunk_start, chunk_end);
+    stretches of which nothing could be read are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for v, p, s, e in zip(*(c.to_pylist() for c in b.columns)):
+                times, mp4 = decoder.clip(p, s, e, max_width, fps)
+                if times and mp4:
+                    yield pa.RecordBatch.from_arrays([pa.array([v], pa.string()), pa.array([times], pa.list_(pa.float64())), pa.array([mp4], pa.binary())], names=["video_id", "times", "mp4"])
+
+    return wanted.select("video_id", "path", "chunk_start", "chunk_end").mapInArrow(run, "video_id string, times array<double>, mp4 binary")
+
+
+def anchored(rows: DataFrame, videos: DataFrame, decoder: Decoder, max_width: int, quality: int) -> DataFrame:
+    """(item, shots): the frames of each item at the anchor times of ``rows``
+    (video_id, item, ord, anchor_ts); an item without a readable frame has none."""
+    at = rows.join(videos.select("video_id", "path"), "video_id").groupBy("item", "path").agg(F.array_sort(F.collect_list(F.struct("ord", parse_seconds(F.col("anchor_ts")).alias("t")))).alias("ts"))
+    got = grab(at.select("item", "path", F.transform("ts", lambda x: x["t"]).alias("times")), decoder, "item", max_width, quality)
+    return got.groupBy("item").agg(F.array_sort(F.collect_list(F.struct("ord", "ts", "jpeg"))).alias("shots"))

@@ -31,6 +31,15 @@ def image_part(c: Column, detail: str = "low") -> Column:
     return F.struct(F.lit("image_url").alias("kind"), F.lit(None).cast("string").alias("text"), c.alias("media"), F.lit(detail).alias("detail"))
 
 
+def video_part(c: Column) -> Column:
+    return F.struct(F.lit("video_url").alias("kind"), F.lit(None).cast("string").alias("text"), c.alias("media"), F.lit(None).cast("string").alias("detail"))
+
+
+def audit(rows: DataFrame) -> DataFrame:
+    """What was asked, without media: (request_id, stage, system, words, n_media)."""
+    return rows.select("request_id", "stage", "system", F.concat_ws("\n", F.transform("parts", lambda p: p["text"])).alias("words"), F.size(F.filter("parts", lambda p: p["media"].isNotNull())).alias("n_media"))
+
+
 def requests(df: DataFrame, stage: str, system: Column, parts: Column, max_tokens: int, temperature: float, want: str = "json") -> DataFrame:
     """Adds the request columns to ``df``; the id covers stage, texts and media."""
     df = df.withColumns(

@@ -23,9 +23,6 @@ PAYLOAD = (
 
 def _times(plan: DataFrame, scenes: DataFrame | None, cfg: Config) -> DataFrame:
     """Adds ``times`` to the plan of one wave."""
-    if cfg.input_payload_format == "video_base64":
-        n = F.greatest(F.lit(1), F.floor((F.col("chunk_end") - F.col("chunk_start")) * cfg.target_fps).cast("int"))
-        return plan.withColumn("times", F.transform(F.sequence(F.lit(0), n), lambda k: F.col("chunk_start") + k / F.lit(cfg.target_fps)))
     if scenes is None or cfg.frame_extraction_strategy != "scenedetect":
         return plan.withColumn("times", S.uniform_times(F.col("chunk_start"), F.col("chunk_end"), cfg.max_frames_per_chunk))
     met = plan.join(scenes, "video_id", "left").withColumns({"s": F.greatest("start_sec", "chunk_start"), "e": F.least("end_sec", "chunk_end")}).where("s < e")
@@ -72,16 +69,20 @@ def _wave(ws: Workspace, wave: int, state: DataFrame, active: DataFrame, scenes:
     base = f"{ws.root}/relay"
     length = float(cfg.chunk_duration_sec)
     plan = active.select("*", F.col("at").alias("chunk_start"), F.least(F.col("at") + length, F.col("total")).alias("chunk_end"))
-    timed = _times(plan.select("video_id", "path", "chunk_start", "chunk_end"), scenes, cfg)
-    frames = media.grab(timed, decoder, "video_id", cfg.frame_max_width, cfg.frame_jpg_quality)
-    frames.write.mode("overwrite").parquet(f"{base}/frames/wave={wave}")
-    frames = ws.spark.read.parquet(f"{base}/frames/wave={wave}")
-    shots = frames.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("ord", "ts", "jpeg"))).alias("shots"))
+    stretch = plan.select("video_id", "path", "chunk_start", "chunk_end")
+    if cfg.input_payload_format == "video_base64":
+        seen = ws.put(f"relay/clips/wave={wave}", media.clips(stretch, decoder, cfg.frame_max_width, cfg.target_fps))
+        shots = seen.select("video_id", "times", F.array(model.video_part(F.col("mp4"))).alias("media"))
+    else:
+        frames = ws.put(f"relay/frames/wave={wave}", media.grab(_times(stretch, scenes, cfg), decoder, "video_id", cfg.frame_max_width, cfg.frame_jpg_quality))
+        grouped = frames.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("ord", "ts", "jpeg"))).alias("shots"))
+        pair = F.flatten(F.transform("shots", lambda x: F.array(model.text_part(F.concat(F.lit("Frame at "), format_seconds(x["ts"]))), model.image_part(x["jpeg"]))))
+        shots = grouped.select("video_id", F.transform("shots", lambda x: x["ts"]).alias("times"), pair.alias("media"))
     span = F.concat(format_seconds(F.col("chunk_start")), F.lit(" - "), format_seconds(F.col("chunk_end")))
-    asked = plan.join(shots, "video_id").withColumn("allowed", snap.whitelist(F.col("chunk_start"), F.transform("shots", lambda x: x["ts"]))).withColumn("chunk_time_range", span)
-    images = F.flatten(F.transform("shots", lambda x: F.array(model.text_part(F.concat(F.lit("Frame at "), format_seconds(x["ts"]))), model.image_part(x["jpeg"]))))
+    asked = plan.join(shots, "video_id").withColumn("allowed", snap.whitelist(F.col("chunk_start"), F.col("times"))).withColumn("chunk_time_range", span)
     words = model.text_part(prompts.perceive(F.col("chunk_time_range"), F.col("allowed"), _context(F.col("history"), F.col("action"), F.col("action_end"))))
-    rq = model.requests(asked, "perception", F.lit(prompts.PERCEIVE), F.concat(images, F.array(words)), cfg.llm_max_tokens, cfg.llm_temperature)
+    rq = model.requests(asked, "perception", F.lit(prompts.PERCEIVE), F.concat("media", F.array(words)), cfg.llm_max_tokens, cfg.llm_temperature)
+    ws.put(f"audit/perception/wave={wave}", model.audit(rq))
     answers = backend.call(rq)
     kept = rq.select("video_id", "chunk_i", "chunk_start", "chunk_end", "chunk_time_range", "allowed", "stage", "request_id").join(answers, "request_id")
     kept.write.mode("overwrite").parquet(f"{base}/answers/wave={wave}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,7 @@ def run_batch(spark: SparkSession, cfg: Config, input_path: str, output: str, ba
     ``runs``; other videos go on.
     """
     ship(spark)
+    began = datetime.now(UTC).isoformat(timespec="seconds")
     decoder = decoder or media.OpenCvDecoder()
     backend = backend or model.HttpBackend(cfg.base_url, cfg.api_key, cfg.model_name, cfg.llm_timeout, cfg.max_retries)
     found = discover(spark, input_path, cfg.video_extensions)
@@ -60,10 +62,10 @@ def run_batch(spark: SparkSession, cfg: Config, input_path: str, output: str, ba
     chunks, events, cand = (t.join(good, "video_id", "left_semi") for t in relay.collected(ws))
 
     def identities() -> DataFrame:
-        sightings, flags = stages.align(ws, chunks, cand, backend, cfg)
+        sightings, flags = stages.align(ws, chunks, cand, meta, decoder, backend, cfg)
         ws.put("sightings", sightings)
         ws.put("low_confidence", flags)
-        return stages.review(ws, ws.table("sightings"), backend, cfg)
+        return stages.review(ws, ws.table("sightings"), meta, decoder, backend, cfg)
 
     final = ws.stage("people", d, ("perception",), identities)
     aligned = ws.stage("events_aligned", d, ("people",), lambda: stages.rewrite_captions(events, ws.table("sightings"), final))
@@ -82,7 +84,11 @@ def run_batch(spark: SparkSession, cfg: Config, input_path: str, output: str, ba
     answers = _all_answers(ws)
     u = answers.select("video_id", "stage", F.explode("usage").alias("u")).select("video_id", "stage", "u.*")
     ws.put("usage", U.rollup(u))
-    ws.put("runs", meta.select("video_id", "path").join(status, "video_id", "left").select("video_id", "path", F.when(F.col("total").isNull(), "unreadable").when(F.col("error").isNotNull(), "failed").otherwise("completed").alias("status"), "error"))
+    runs = meta.select("video_id", "path").join(status, "video_id", "left").select("video_id", "path", F.when(F.col("total").isNull(), "unreadable").when(F.col("error").isNotNull(), "failed").otherwise("completed").alias("status"), "error")
+    ws.put("runs", runs)
+    # One row for each video and call of the batch is added, never replaced.
+    log = runs.withColumns({"started_at": F.lit(began).cast("timestamp"), "ended_at": F.current_timestamp(), "config_hash": F.lit(d)})
+    log.write.mode("append").parquet(f"{ws.root}/run_log")
     summary = defs.groupBy("video_id").agg(F.max("video_summary").alias("video_summary"))
     shown = meta.join(good, "video_id", "left_semi").select("video_id", F.col("path").alias("video_path")).join(summary, "video_id", "left")
     ws.put("storyboards", storyboards.nest(polished, defs, shown))

@@ -24,11 +24,12 @@ SIGHTING = "video_id string, p int, chunk_i int, temp_name string, descr string,
 
 def _ask(ws: Workspace, name: str, rq: DataFrame, backend) -> DataFrame:
     """Answers of one round, kept as a table before anything is read from them."""
+    ws.put(f"audit/{name}", model.audit(rq))
     keep = [c for c in rq.columns if c not in ("parts", "system", "max_tokens", "temperature", "want")]
     return ws.put(name, rq.select(*keep).join(backend.call(rq), "request_id"))
 
 
-def align(ws: Workspace, chunks: DataFrame, candidates: DataFrame, backend, cfg: Config) -> tuple[DataFrame, DataFrame]:
+def align(ws: Workspace, chunks: DataFrame, candidates: DataFrame, videos: DataFrame, decoder: media.Decoder, backend, cfg: Config) -> tuple[DataFrame, DataFrame]:
     """(sightings, flags): one round for each chunk number, all videos at once.
 
     A round's requests name the persons known from the rounds before; decisions
@@ -48,7 +49,15 @@ def align(ws: Workspace, chunks: DataFrame, candidates: DataFrame, backend, cfg:
         known = Y.joined(bank, ["video_id"], ["cluster_id"], F.concat("cluster_id", F.lit(": "), "names"), name="known")
         row = cast.join(known, "video_id", "left").join(chunks.where(F.col("chunk_i") == i).select("video_id", "chunk_summary"), "video_id", "left")
         words = prompts.filled(("This stretch", F.col("chunk_summary")), ("Known persons", F.col("known")), ("Persons here", F.col("cast")))
-        rq = model.requests(row.withColumn("chunk_i", F.lit(i)), "alignment", F.lit(prompts.ALIGN), F.array(model.text_part(words)), cfg.align_max_tokens, cfg.align_temperature)
+        # One picture for each known person, of its first sighting, then one for each person here.
+        old = sightings.groupBy("video_id", "cluster_id").agg(F.min_by("anchor_ts", "p").alias("anchor_ts"))
+        who = old.select("video_id", F.col("cluster_id").alias("name"), "anchor_ts", F.lit(0).alias("kind")).unionByName(now.select("video_id", F.col("temp_name").alias("name"), "anchor_ts", F.lit(1).alias("kind")))
+        who = who.join(now.select("video_id").distinct(), "video_id", "left_semi").withColumns({"item": F.concat_ws("|", "video_id", "kind", "name"), "ord": F.lit(0)}).where("coalesce(anchor_ts, '') <> ''")
+        shots = media.anchored(who, videos, decoder, cfg.frame_max_width, cfg.frame_jpg_quality)
+        pics = who.join(shots, "item").groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("kind", "name", F.element_at("shots", 1)["jpeg"].alias("jpeg")))).alias("pics"))
+        row = row.join(pics, "video_id", "left").withColumn("chunk_i", F.lit(i))
+        shown = F.flatten(F.transform(F.coalesce("pics", F.array()), lambda x: F.array(model.text_part(x["name"]), model.image_part(x["jpeg"]))))
+        rq = model.requests(row, "alignment", F.lit(prompts.ALIGN), F.concat(shown, F.array(model.text_part(words))), cfg.align_max_tokens, cfg.align_temperature).drop("pics")
         got = _ask(ws, f"align/answers/round={i}", rq, backend).where("status = 'ok'")
         m = got.select("video_id", "chunk_i", F.posexplode(F.from_json("answer", _MAPPING)["chunk_identity_mapping"]).alias("j", "m"))
         m = m.select("video_id", "chunk_i", "j", "m.*").withColumn("match_result", F.trim(F.coalesce("match_result", F.lit(""))))
@@ -64,7 +73,7 @@ def align(ws: Workspace, chunks: DataFrame, candidates: DataFrame, backend, cfg:
     return sightings, flags
 
 
-def review(ws: Workspace, sightings: DataFrame, backend, cfg: Config) -> DataFrame:
+def review(ws: Workspace, sightings: DataFrame, videos: DataFrame, decoder: media.Decoder, backend, cfg: Config) -> DataFrame:
     """Final names: (video_id, cluster_id, n, final_name, final_desc, preserved, status)."""
     from pyspark.sql import Window as W
 
@@ -77,7 +86,15 @@ def review(ws: Workspace, sightings: DataFrame, backend, cfg: Config) -> DataFra
     n = F.row_number().over(W.partitionBy("video_id").orderBy("cluster_id"))
     b = bank.withColumn("batch", F.floor((n - 1) / size).cast("int"))
     lines = Y.joined(b, ["video_id", "batch"], ["cluster_id"], F.concat("cluster_id", F.lit(": "), F.array_join(F.transform("names", lambda x: x["name"]), ", "), F.lit("; "), Y.flat(F.col("first_desc"))), name="persons")
-    rq = model.requests(lines, "review", F.lit(prompts.REVIEW), F.array(model.text_part(prompts.filled(("Persons", F.col("persons"))))), cfg.review_max_tokens, cfg.review_temperature)
+    # A few sightings of each person, spread evenly over its first and last.
+    placed = sightings.withColumns({"ord": F.row_number().over(W.partitionBy("video_id", "cluster_id").orderBy("p")) - 1, "n": F.count(F.lit(1)).over(W.partitionBy("video_id", "cluster_id"))})
+    some = placed.where(F.array_contains(S.even_sample(F.col("n").cast("int"), cfg.review_max_frames_per_cluster), F.col("ord")) & (F.coalesce("anchor_ts", F.lit("")) != ""))
+    some = some.withColumn("item", F.concat_ws("|", "video_id", "cluster_id"))
+    shots = media.anchored(some, videos, decoder, cfg.review_frame_max_width, cfg.review_jpg_quality)
+    pics = b.withColumn("item", F.concat_ws("|", "video_id", "cluster_id")).join(shots, "item").groupBy("video_id", "batch").agg(F.array_sort(F.collect_list(F.struct("cluster_id", "shots"))).alias("pics"))
+    shown = F.flatten(F.transform(F.coalesce("pics", F.array()), lambda x: F.concat(F.array(model.text_part(x["cluster_id"])), F.transform(x["shots"], lambda s: model.image_part(s["jpeg"], "high")))))
+    words = model.text_part(prompts.filled(("Persons", F.col("persons"))))
+    rq = model.requests(lines.join(pics, ["video_id", "batch"], "left"), "review", F.lit(prompts.REVIEW), F.concat(shown, F.array(words)), cfg.review_max_tokens, cfg.review_temperature).drop("pics")
     got = _ask(ws, "review/answers", rq, backend).where("status = 'ok'")
     r = got.select("video_id", F.posexplode(F.from_json("answer", _REVIEWS)["reviews"]).alias("j", "r")).where("coalesce(r.cluster_id, '') <> ''")
     last = r.groupBy("video_id", "r.cluster_id").agg(F.max_by("r", "j").alias("r"))

@@ -17,6 +17,9 @@ class FakeDecoder:
     def frames(self, path, times, max_width, quality):
         return [(t, f"{path}@{t:.3f}".encode()) for t in times]
 
+    def clip(self, path, start, end, max_width, fps):
+        return [start + i for i in range(int(end - start) + 1)], f"{path}@{start}".encode()
+
     def scenes(self, path, threshold):
         return [(0.0, 20.0), (20.0, 90.0)]
 
@@ -37,9 +40,11 @@ def fake_model(request):
         }
         return "```json\n" + json.dumps(out) + "\n```", usage
     if request["stage"] == "alignment":
+        assert any(p["kind"] == "image_url" for p in request["parts"])
         known = "cluster_0001" if "cluster_0001" in text else "NEW"
         return json.dumps({"chunk_identity_mapping": [{"temp_name_in_chunk": "[Ann]", "match_result": known, "confidence_score": 70}]}), usage
     if request["stage"] == "review":
+        assert 1 <= sum(p["kind"] == "image_url" for p in request["parts"]) <= 3
         return json.dumps({"reviews": [{"cluster_id": "cluster_0001", "final_global_name": "[Anna]", "refined_visual_description": "tall woman"}]}), None
     if request["stage"] == "chapters":
         first = re.search(r"## Timeline\n(\[[^\]]*\])", text)[1]
@@ -107,6 +112,34 @@ def test_a_second_run_asks_for_nothing(spark, batch):
 
     again = run_batch(spark, cfg, str(d / "in"), str(d / "out"), model.CallableBackend(never, 1), FakeDecoder())
     assert again == out
+    assert spark.read.parquet(out["root"] + "/run_log").count() == 8
+    words = spark.read.option("recursiveFileLookup", "true").parquet(out["root"] + "/audit")
+    assert words.where("n_media > 0 and stage = 'perception'").count() == words.where("stage = 'perception'").count() > 0
+
+
+def test_going_on_after_a_break_equals_one_run(spark, batch, tmp_path):
+    """The last wave and all that came after it are lost; the rest is kept."""
+    import shutil
+
+    cfg, d, out = batch
+    root = tmp_path / "out" / cfg.digest()
+    shutil.copytree(out["root"], root)
+    waves = sorted(int(p.name.split("=")[1]) for p in (root / "relay" / "state").iterdir() if p.name.startswith("wave="))
+    shutil.rmtree(root / "relay" / "state" / f"wave={waves[-1]}")
+    shutil.rmtree(root / "_marks")
+    again = run_batch(spark, cfg, str(d / "in"), str(tmp_path / "out"), model.CallableBackend(fake_model, 2, _no_pause), FakeDecoder())
+    read = lambda r: sorted(str(x) for x in spark.read.parquet(r + "/storyboards").collect())
+    assert read(again["root"]) == read(out["root"]) != []
+
+
+def test_clips_instead_of_frames(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "short.mp4").write_bytes(b"x")
+    cfg = Config(input_payload_format="video_base64", review_enable=False)
+    out = run_batch(spark, cfg, str(tmp_path / "in" / "short.mp4"), str(tmp_path / "out"), model.CallableBackend(fake_model, 1, _no_pause), FakeDecoder())
+    assert out["completed"] == 1
+    doc = spark.read.parquet(out["root"] + "/storyboards").first()
+    assert doc.chapters[0].events[0].step3_synthesized_dense_caption == "[Ann] waits."
 
 
 def test_replay_and_retry(spark):
