@@ -230,10 +230,10 @@ _REWRITE = (
 
 SQL = {
     "name_normalize": f"WITH {P.SIGHTINGS} SELECT DISTINCT nm AS name,{P.norm('nm')} AS norm FROM (SELECT unnest([temp_name,' 【'||temp_name||'》'||chr(10)]) AS nm FROM sg)",
-    "candidate_dedup": f"WITH {_CAND} SELECT run_id,ch_idx,ev_pos,c_pos,temp_name,norm,n_same FROM cd",
-    "mapping_dedup": f"WITH {_KEPT} SELECT run_id,ch_idx,p,j,temp_name,match_result,confidence_score FROM kp",
-    "cluster_fold": f"{_FOLD} SELECT run_id,p,cluster_id,is_new,low_conf FROM fd",
-    "low_conf_flags": f"{_FOLD} SELECT run_id,ch_idx,temp_name,cluster_id,confidence_score FROM fd JOIN kp USING (run_id,p) WHERE low_conf",
+    "candidate_dedup": f"WITH {_CAND} SELECT run_id,ch_idx,CAST(ev_pos AS INT) AS ev_pos,CAST(c_pos AS INT) AS c_pos,temp_name,norm,n_same FROM cd",
+    "mapping_dedup": f"WITH {_KEPT} SELECT run_id,ch_idx,CAST(p AS INT) AS p,j,temp_name,match_result,CAST(confidence_score AS INT) AS confidence_score FROM kp",
+    "cluster_fold": f"{_FOLD} SELECT run_id,CAST(p AS INT) AS p,cluster_id,is_new,low_conf FROM fd",
+    "low_conf_flags": f"{_FOLD} SELECT run_id,ch_idx,temp_name,cluster_id,CAST(confidence_score AS INT) AS confidence_score FROM fd JOIN kp USING (run_id,p) WHERE low_conf",
     "cluster_sightings": f"{_SIGHT} SELECT run_id,cluster_id,count(*) AS n,string_agg(p||':'||temp_name,' | ' ORDER BY p) AS sightings FROM si GROUP BY 1,2",
     "name_history": f"{_BANK} SELECT run_id,cluster_id,array_to_string(list_transform(names,lambda x: x.name),', ') AS names FROM ba",
     "review_sample": f"{_BANK} SELECT DISTINCT run_id,cluster_id,CAST(k AS INT) AS place FROM (SELECT run_id,cluster_id,unnest(CASE WHEN n<=3 THEN range(n) ELSE [0,CAST(round_even((n-1)/2.0,0) AS BIGINT),n-1] END) AS k FROM ba)",
@@ -243,7 +243,7 @@ SQL = {
     "review_fallback": f"{_FINAL} SELECT run_id,cluster_id,final_name,final_desc,array_to_string(preserved,', ') AS preserved,status FROM fi",
     "cluster_bank": f"{_FINAL} SELECT run_id,count(*) AS n_clusters,CAST(sum(n) AS BIGINT) AS n_sightings,count(*) FILTER (status='fallback') AS n_fallback,CAST(max(len(preserved)) AS INT) AS most_preserved FROM fi GROUP BY 1",
     "sighting_override": f"{_SIGHT} SELECT run_id,ch_idx,temp_name,max(cluster_id) AS cluster_id FROM si GROUP BY 1,2,3",
-    "resolved_candidates": f"{_FINAL},au AS (SELECT run_id,ch_idx,temp_name,max(cluster_id) AS cluster_id FROM si GROUP BY 1,2,3) SELECT sg.run_id,sg.ch_idx,ev_pos,c_pos,sg.temp_name,cluster_id,final_name FROM sg LEFT JOIN au USING (run_id,ch_idx,temp_name) LEFT JOIN fi USING (run_id,cluster_id)",
+    "resolved_candidates": f"{_FINAL},au AS (SELECT run_id,ch_idx,temp_name,max(cluster_id) AS cluster_id FROM si GROUP BY 1,2,3) SELECT sg.run_id,sg.ch_idx,CAST(ev_pos AS INT) AS ev_pos,CAST(c_pos AS INT) AS c_pos,sg.temp_name,cluster_id,final_name FROM sg LEFT JOIN au USING (run_id,ch_idx,temp_name) LEFT JOIN fi USING (run_id,cluster_id)",
     "caption_rewrite": f"{_REWRITE} SELECT run_id,event_id,rewritten FROM rw",
     "rewrite_hits": f"{_REWRITE} SELECT run_id,CAST(sum(hits) AS BIGINT) AS n_hits FROM rw GROUP BY 1",
 }
