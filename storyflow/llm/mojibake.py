@@ -263,14 +263,16 @@ def restore(text: str, least: float = 0.45) -> tuple[bool, str]:
     holds right and wrong characters. A stretch whose bytes are lost keeps its
     replacement marks.
     """
-    if text.isascii():
+    if text.isascii() and "&" not in text:
         return False, text
     affected = _LOST in text or bool(_C1.search(text))
     out: list[str] = []
     for m in _SEGMENT.finditer(text):
-        s = m.group()
+        kept = s = m.group()
+        if "&" in s:
+            s = html.unescape(s)  # entities are right, what they stand for may not be
         if s.isascii() or cost(s) < least:
-            out.append(s)
+            out.append(kept)
             continue
         best, then, first = search(s)
         if _better(first, then, best):
@@ -291,7 +293,8 @@ def restore(text: str, least: float = 0.45) -> tuple[bool, str]:
                 return b
             return w
 
-        out.append("".join(_RUN.sub(one, side) for side in _SIDES.findall(s)))
+        mixed = "".join(_RUN.sub(one, side) for side in _SIDES.findall(s))
+        out.append(kept if mixed == s else mixed)
     return affected, "".join(out)
 
 
@@ -299,7 +302,7 @@ def garbled(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     """(key, restored) of each row whose text holds a stretch decoded with the
     wrong encoding; ``restored`` is the text with what could be got back.
 
-    Only rows with a character outside ASCII leave the JVM. Null, empty and
+    Only rows with a character outside ASCII or an entity leave the JVM. Null, empty and
     plain texts give no row; repeated rows each give their own; long texts are
     read whole, stretch by stretch; an empty table gives no rows; other columns
     are dropped at once.
@@ -315,5 +318,5 @@ def garbled(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
                     texts.append(fixed)
             yield pa.RecordBatch.from_arrays([pa.array(keys, b.schema.field(0).type), pa.array(texts, pa.string())], names=[key, "restored"])
 
-    rows = df.where(F.col(text).rlike(r"[^\x00-\x7f]")).select(key, text)
+    rows = df.where(F.col(text).rlike(r"[^\x00-\x7f]|&#?\w{2,8};")).select(key, text)
     return rows.mapInArrow(run, f"{key} {dict(df.dtypes)[key]}, restored string")

@@ -42,8 +42,13 @@ def test_twice_in_part_and_lost():
     assert M.restore(garble("Where’s it?", "utf-8", "latin-1") * 2000)[0]
 
 
+def test_entities():
+    assert M.restore("caf&Atilde;&copy; au lait &amp; p&Atilde;&cent;t&Atilde;&copy;") == (True, "café au lait & pâté")
+    assert M.restore("Tom &amp; caf&eacute; &lt;b&gt;") == (False, "Tom &amp; caf&eacute; &lt;b&gt;")
+
+
 def test_table(spark):
-    rows = [(1, "cafÃ© au lait"), (1, "cafÃ© au lait"), (2, "café"), (3, None), (4, ""), (5, "plain"), (None, "cafÃ©s")]
+    rows = [(1, "cafÃ© au lait"), (1, "cafÃ© au lait"), (2, "café"), (3, None), (4, ""), (5, "plain &amp; good"), (None, "cafÃ©s")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("restored", F.lit("clash"))
     assert sorted((r.doc_id or 0, r.restored) for r in M.garbled(df).collect()) == [(0, "cafés"), (1, "café au lait"), (1, "café au lait")]
     assert M.garbled(df.limit(0)).count() == 0
