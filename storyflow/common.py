@@ -51,9 +51,13 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
     return run
 
 
-def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """Read one table of a data directory."""
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+def load(spark: SparkSession, sf_dir: str, table: str, schema: str | None = None) -> DataFrame:
+    """Read one table of a data directory; with ``schema`` only the columns and
+    members it names. Members of nested lists are pruned from the scan only when
+    they are named like this: two levels of unnesting hide them from the planner.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

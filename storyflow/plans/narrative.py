@@ -101,7 +101,7 @@ def polish_payload(spark: SparkSession, d: str) -> D:
 
 
 def final_caption(spark: SparkSession, d: str) -> D:
-    one = load(spark, d, "stage3_polished").select("run_id", "chapters").dropDuplicates(["run_id"])
+    one = load(spark, d, "stage3_polished", A.POLISHED_CAPTIONS).dropDuplicates(["run_id"])
     flat = one.select("run_id", F.posexplode("chapters.events").alias("ci", "es")).select("run_id", "ci", F.posexplode("es").alias("ei", "e"))
     p = R.polished_captions(flat.select("run_id", "ci", "ei", F.col("e.event_id").alias("event_id"), F.col("e.final_caption").alias("caption")).where("coalesce(event_id, '') <> ''"), ["run_id", "event_id"], ["ci", "ei"])
     e = A.pairs(spark, d, "frame_caption", "step3_synthesized_dense_caption").join(p, ["run_id", "event_id"], "left")
@@ -109,7 +109,7 @@ def final_caption(spark: SparkSession, d: str) -> D:
 
 
 def storyboard_flat(spark: SparkSession, d: str) -> D:
-    one = load(spark, d, "stage3_polished").select("run_id", "chapters").dropDuplicates(["run_id"])
+    one = load(spark, d, "stage3_polished", A.POLISHED_FLAT).dropDuplicates(["run_id"])
     c = one.select("run_id", F.posexplode("chapters").alias("ci", "c")).where("c is not null")
     e = c.select("run_id", "ci", F.coalesce("c.chapter_id", F.lit("")).alias("chapter_id"), F.coalesce("c.title", F.lit("")).alias("title"), F.posexplode("c.events").alias("ei", "e")).where("e is not null")
     return e.select("run_id", "ci", "chapter_id", "title", "ei", "e.event_id", "e.start_time", "e.end_time", F.coalesce(F.size("e.characters_in_event"), F.lit(0)).cast("bigint").alias("n_characters"))

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from ..common import load
 from ..functions.timecode import readable_ms, readable_range_ms
 from ..operators import intervals, nested
+from ..sources.adapters import FINAL_ITEMS, POLISHED_KEYS
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested.all_children(*(load(spark, sf_dir, t) for t in ("stage3_polished", "pass3_final", "raw_storyboards")))
+    return nested.all_children(
+        load(spark, sf_dir, "stage3_polished", POLISHED_KEYS), load(spark, sf_dir, "pass3_final", FINAL_ITEMS), load(spark, sf_dir, "raw_storyboards")
+    )
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

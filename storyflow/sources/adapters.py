@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 from ..common import load
 
-EVENT_COLUMNS = [
-    "video_id", "run_id", "chunk_i", "ev_i", "chunk_time_range", "start_time", "end_time",
-    "step1_objective_visual", "step2_contextual_reasoning", "step3_synthesized_dense_caption", "key_frame_times",
-]
+#: What is read of nested tables, by use.
+POLISHED_KEYS = "run_id string, chapters array<struct<chapter_id:string,events:array<struct<event_id:string>>>>"
+POLISHED_CAPTIONS = "run_id string, source string, chapters array<struct<events:array<struct<event_id:string,final_caption:string>>>>"
+FINAL_ITEMS = "run_id string, ch_idx int, events array<struct<characters_in_event:array<struct<name:string>>,key_frame_times:array<string>>>"
+FINAL_PEOPLE = "run_id string, ch_idx int, events array<struct<start_time:string,characters_in_event:array<struct<name:string,desc:string>>>>"
+POLISHED_FLAT = (
+    "run_id string, chapters array<struct<chapter_id:string,title:string,events:array<struct<event_id:string,start_time:string,end_time:string,characters_in_event:array<struct<name:string>>>>>>"
+)
 
 
 def events(spark: SparkSession, d: str, *columns: str) -> DataFrame:
@@ -39,7 +43,7 @@ def sightings(spark: SparkSession, d: str) -> DataFrame:
         "events",
         lambda e: F.struct(e["start_time"].alias("t"), F.transform(e["characters_in_event"], lambda c: F.when(c.isNotNull(), F.struct(c["name"].alias("n"), c["desc"].alias("d")))).alias("cs")),
     )
-    one = chapters(spark, d, "events")
+    one = load(spark, d, "pass3_final", FINAL_PEOPLE).dropDuplicates(["run_id", "ch_idx"])
     flat = one.select("run_id", "ch_idx", F.posexplode(people).alias("ev_pos", "e")).select("run_id", "ch_idx", "ev_pos", F.col("e.t").alias("anchor_ts"), F.posexplode("e.cs").alias("c_pos", "c"))
     return flat.where(F.col("c").isNotNull()).select("run_id", "ch_idx", "ev_pos", "c_pos", F.col("c.n").alias("temp_name"), F.col("c.d").alias("descr"), "anchor_ts")
 
