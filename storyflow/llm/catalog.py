@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..common import load, shipped
+from ..sources.adapters import POLISHED_CAPTIONS
 from . import endings, mojibake, pairs, repetition, runs, tokens
 
 
@@ -20,7 +21,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _captions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return endings.caption_values(*(load(spark, sf_dir, t) for t in ("stage2_refined", "stage3_polished", "pass3_final")))
+    return endings.caption_values(load(spark, sf_dir, "stage2_refined"), load(spark, sf_dir, "stage3_polished", POLISHED_CAPTIONS), load(spark, sf_dir, "pass3_final"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +34,7 @@ def p5_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.text_values(*(load(spark, sf_dir, t) for t in ("pass1_progress", "stage2_refined", "stage3_polished")))
+    return repetition.text_values(load(spark, sf_dir, "pass1_progress"), load(spark, sf_dir, "stage2_refined"), load(spark, sf_dir, "stage3_polished", POLISHED_CAPTIONS))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
