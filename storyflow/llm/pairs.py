@@ -131,7 +131,8 @@ def other_language(prompt: str, response: str) -> bool:
         return False
     if top == "latin":  # letters without a known word: only another script tells
         return of_prompt in ("zh", "ja", "ko", "ru") and w[top] >= 0.6 * total and total >= 40
-    return w[top] > 0.5 * total and w[top] > 1.6 * w.get(of_prompt, 0.0)
+    own = w.get(of_prompt, 0.0)  # related languages share words, so the rest counts as a whole
+    return own < 0.5 * total and w[top] > 1.3 * own
 
 
 def certain_defect(prompt: str | None, response: str | None) -> str | None:

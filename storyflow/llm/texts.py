@@ -44,7 +44,7 @@ def key(*parts: str) -> int:
 FUNCTION_WORDS = {
     "en": "the a an of and to in on at with is are was were as by for from that this it its into while then who which behind beneath beside near toward over under after before since not he she they his her their has have be or but out up can".split(),
     "de": "der die das den dem des ein eine einen einem einer eines und mit im am auf in an zu von nicht sich ist sind wird werden als bei aus nach vor hinter neben unter über für wie auch noch dann während weil da man er sie es ihr nur alles".split(),
-    "es": "el la los las un una unos unas y de del al en con por para que se es son su sus como no más pero entre sobre bajo desde hasta junto detrás mientras luego ante lo ella le hay está cuando donde ya frente alguien".split(),
+    "es": "el la los las un una unos unas y de del al en con por para que se es son su sus como no más pero entre sobre bajo desde hasta junto detrás mientras luego ante lo ella le hay está cuando donde ya frente alguien después antes también muy sin nada otra otro cada porque aunque hacia tras casi poco medio ambos".split(),
     "fr": "le la les un une des du de et à au aux en dans sur sous avec par pour que qui se ne pas est sont son sa ses ce cette il elle ils puis près derrière devant tandis comme plus où entre quelqu on d'une l'on au-dessus".split(),
     "it": "il lo la gli le un una e di del della dei nel nella con per che si non è sono come poi mentre sul dalla".split(),
     "pt": "o a os as um uma e de do da dos das no na nos nas com por para que se não é são como depois enquanto ao à".split(),
@@ -65,12 +65,31 @@ _UMLAUT = re.compile(r"[äöüß]")
 _TILDE = re.compile(r"[ñ¿¡]")
 
 
+def _votes(sentence: str) -> tuple[int, str]:
+    """(Latin letters, the language most of their function words vote for or '')."""
+    words = set(_LATIN.findall(sentence))  # a word that is said over and over is one word
+    size = sum(map(len, words))
+    votes: dict[str, float] = {}
+    for w in words:
+        if w in _VOTES:
+            for lang, v in _VOTES[w].items():
+                votes[lang] = votes.get(lang, 0.0) + v
+    if not votes:
+        return size, ""
+    if not sentence.isascii():
+        if votes.get("de"):
+            votes["de"] += 0.3 * len(_UMLAUT.findall(sentence))
+        if votes.get("es"):
+            votes["es"] += 0.3 * len(_TILDE.findall(sentence))
+    return size, max(sorted(votes), key=votes.__getitem__)
+
+
 def language(text: str) -> dict[str, float]:
-    """Weights of the languages a text is written in, names in brackets aside.
-    A Han character weighs as three letters of an alphabet. Latin letters are
-    shared out by the votes of their function words; without any vote they are
-    counted as ``latin``."""
-    plain = NAME.sub(" ", text)
+    """Letters by language, names in brackets aside. A Han character weighs as
+    three letters of an alphabet. Each sentence's Latin letters go whole to the
+    language its function words vote for; a sentence without any to the language
+    most of the others have, or to ``latin``."""
+    plain = NAME.sub(" ", text).lower()
     out: dict[str, float] = {}
     if not plain.isascii():
         kana = len(_KANA.findall(plain))
@@ -78,27 +97,19 @@ def language(text: str) -> dict[str, float]:
         for name, n in (("ja" if kana > 0.2 * han else "zh", 3.0 * (han + kana)), ("ru", float(len(_CYR.findall(plain)))), ("ko", 2.0 * len(_HANGUL.findall(plain)))):
             if n:
                 out[name] = n
-    words = _LATIN.findall(plain.lower())
-    size = sum(map(len, words))
-    if not size:
-        return out
-    votes: dict[str, float] = {}
-    for w in words:
-        if w in _VOTES:
-            for lang, v in _VOTES[w].items():
-                votes[lang] = votes.get(lang, 0.0) + v
-    if not plain.isascii():
-        low = plain.lower()
-        if (n := len(_UMLAUT.findall(low))) and votes.get("de"):
-            votes["de"] += 0.3 * n
-        if (n := len(_TILDE.findall(low))) and votes.get("es"):
-            votes["es"] += 0.3 * n
-    total = sum(votes.values())
-    if not total:
-        out["latin"] = size
-    for lang, v in votes.items():
-        out[lang] = out.get(lang, 0.0) + size * v / total
-    return out
+    latin: dict[str, float] = {}
+    mute = 0
+    for sentence in SENTENCES.split(plain):
+        if sentence:
+            size, lang = _votes(sentence)
+            if lang:
+                latin[lang] = latin.get(lang, 0.0) + size
+            else:
+                mute += size
+    if mute:
+        most = max(sorted(latin), key=latin.__getitem__) if latin else "latin"
+        latin[most] = latin.get(most, 0.0) + mute
+    return out | latin
 
 
 def main_language(text: str) -> tuple[str, float]:
