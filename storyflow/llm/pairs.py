@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..common import cut
 from .endings import ROW_DDL, Endings, judge_open, rows
-from .texts import SENTENCES, WORD, language, main_language, no_answer
+from .texts import SENTENCES, WORD, language, main_language, no_answer, plainly
 
 _QUOTED = re.compile(r"\"[^\"\n]{0,300}\"|“[^”\n]{0,300}”|„[^“”\n]{0,300}[“”]|«[^»\n]{0,300}»|「[^」\n]{0,300}」|『[^』\n]{0,300}』|‘[^’\n]{3,300}’(?!\w)")
 
@@ -122,6 +122,8 @@ def other_language(prompt: str, response: str) -> bool:
     of_prompt, sure = main_language(prompt)
     if not of_prompt or of_prompt == "latin" or sure < 0.4:
         return False
+    if plainly(response, of_prompt):
+        return False
     w = language(response)
     total = sum(w.values())
     if total < 12:

@@ -49,39 +49,50 @@ FUNCTION_WORDS = {
     "it": "il lo la gli le un una e di del della dei nel nella con per che si non è sono come poi mentre sul dalla".split(),
     "pt": "o a os as um uma e de do da dos das no na nos nas com por para que se não é são como depois enquanto ao à".split(),
 }
-_VOTES: dict[str, dict[str, float]] = {}
-for _lang, _words in FUNCTION_WORDS.items():
-    for _w in _words:
-        _VOTES.setdefault(_w, {})[_lang] = 1.0
-for _v in _VOTES.values():
-    for _lang in _v:
-        _v[_lang] = 1.0 / len(_v)
-_HAN = re.compile(r"[㐀-鿿]")
-_KANA = re.compile(r"[぀-ヿ]")
-_CYR = re.compile(r"[Ѐ-ӿ]")
-_HANGUL = re.compile(r"[가-힣]")
+_LANGUAGES: dict[str, tuple[str, ...]] = {w: tuple(g for g, ws in FUNCTION_WORDS.items() if w in ws) for words in FUNCTION_WORDS.values() for w in words}
+_KNOWN = frozenset(_LANGUAGES)
+_HAN = re.compile(r"[㐀-鿿]+")
+_KANA = re.compile(r"[぀-ヿ]+")
+_CYR = re.compile(r"[Ѐ-ӿ]+")
+_HANGUL = re.compile(r"[가-힣]+")
 _LATIN = re.compile(r"[A-Za-zÀ-ɏ]+")
 _UMLAUT = re.compile(r"[äöüß]")
 _TILDE = re.compile(r"[ñ¿¡]")
 
 
+def _hits(text: str) -> tuple[int, dict[str, float]]:
+    """(Latin letters, function words by language) of the distinct words: a word
+    that is said over and over is one word."""
+    words = set(_LATIN.findall(text))
+    votes: dict[str, float] = {}
+    for w in words & _KNOWN:
+        for lang in _LANGUAGES[w]:
+            votes[lang] = votes.get(lang, 0.0) + 1.0
+    if len(votes) > 1 and not text.isascii():
+        if "de" in votes:
+            votes["de"] += 0.3 * len(_UMLAUT.findall(text))
+        if "es" in votes:
+            votes["es"] += 0.3 * len(_TILDE.findall(text))
+    return sum(map(len, words)), votes
+
+
 def _votes(sentence: str) -> tuple[int, str]:
     """(Latin letters, the language most of their function words vote for or '')."""
-    words = set(_LATIN.findall(sentence))  # a word that is said over and over is one word
-    size = sum(map(len, words))
-    votes: dict[str, float] = {}
-    for w in words:
-        if w in _VOTES:
-            for lang, v in _VOTES[w].items():
-                votes[lang] = votes.get(lang, 0.0) + v
-    if not votes:
-        return size, ""
-    if not sentence.isascii():
-        if votes.get("de"):
-            votes["de"] += 0.3 * len(_UMLAUT.findall(sentence))
-        if votes.get("es"):
-            votes["es"] += 0.3 * len(_TILDE.findall(sentence))
-    return size, max(sorted(votes), key=votes.__getitem__)
+    size, votes = _hits(sentence)
+    return size, max(sorted(votes), key=votes.__getitem__) if votes else ""
+
+
+def _size(pattern: re.Pattern, text: str) -> int:
+    return sum(map(len, pattern.findall(text)))
+
+
+def _scripts(plain: str) -> dict[str, float]:
+    """Letters of the scripts that tell their language."""
+    if plain.isascii():
+        return {}
+    kana, han = _size(_KANA, plain), _size(_HAN, plain)
+    sizes = {"ja" if kana > 0.2 * han else "zh": 3.0 * (han + kana), "ru": float(_size(_CYR, plain)), "ko": 2.0 * _size(_HANGUL, plain)}
+    return {lang: n for lang, n in sizes.items() if n}
 
 
 def language(text: str) -> dict[str, float]:
@@ -90,13 +101,7 @@ def language(text: str) -> dict[str, float]:
     language its function words vote for; a sentence without any to the language
     most of the others have, or to ``latin``."""
     plain = NAME.sub(" ", text).lower()
-    out: dict[str, float] = {}
-    if not plain.isascii():
-        kana = len(_KANA.findall(plain))
-        han = len(_HAN.findall(plain))
-        for name, n in (("ja" if kana > 0.2 * han else "zh", 3.0 * (han + kana)), ("ru", float(len(_CYR.findall(plain)))), ("ko", 2.0 * len(_HANGUL.findall(plain)))):
-            if n:
-                out[name] = n
+    out = _scripts(plain)
     latin: dict[str, float] = {}
     mute = 0
     for sentence in SENTENCES.split(plain):
@@ -113,10 +118,27 @@ def language(text: str) -> dict[str, float]:
 
 
 def main_language(text: str) -> tuple[str, float]:
-    """(language, its share); ("", 0.0) for a text without letters."""
-    w = language(text)
+    """(the language most of a text is in, its share of the letters), from the
+    text as a whole; ("", 0.0) for a text without letters."""
+    plain = NAME.sub(" ", text).lower()
+    w = _scripts(plain)
+    size, lang = _votes(plain)
+    if size:
+        w[lang or "latin"] = size
     total = sum(w.values())
     if not total:
         return "", 0.0
-    lang = max(sorted(w), key=w.__getitem__)
-    return lang, w[lang] / total
+    top = max(sorted(w), key=w.__getitem__)
+    return top, w[top] / total
+
+
+def plainly(text: str, lang: str) -> bool:
+    """True if a text is beyond doubt mostly in ``lang``; a quick look that
+    spares most texts the count sentence by sentence."""
+    plain = NAME.sub(" ", text).lower()
+    w = _scripts(plain)
+    size, votes = _hits(plain)
+    if w:
+        return w.get(lang, 0.0) > 2 * (size + sum(w.values()) - w.get(lang, 0.0))
+    own = votes.pop(lang, 0.0)
+    return own >= 4 and own >= 1.5 * max(votes.values(), default=0.0)
