@@ -77,7 +77,7 @@ def shares(values: DataFrame, phrase: int = PHRASE) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(4).to_pylist()
-            lang = pa.array([main_language(t[:400])[0] or None for t in texts], pa.string())
+            lang = pa.array([main_language(t)[0] or None for t in texts], pa.string())
             share = pa.array([repeated_share(t, phrase) for t in texts], pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns[:4], lang, share], names=["field", "run_id", "item_id", "source", "lang", "share"])
 
