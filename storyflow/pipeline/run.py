@@ -46,9 +46,9 @@ def run_batch(spark: SparkSession, cfg: Config, input_path: str, output: str, ba
     listing = ws.put("listing", found.withColumn("path", local))
     if listing.isEmpty():
         return {"root": ws.root, "videos": 0}
-    names = [f"{r.video_id}:{r.mtime}" for r in listing.orderBy("video_id").select("video_id", "mtime").collect()]  # one short row a file
+    files = listing.agg(F.count(F.lit(1)), F.sum(F.xxhash64("video_id", "mtime", "length").cast("decimal(38,0)"))).first()
     d = cfg.digest()
-    meta = ws.stage("video_meta", "|".join([d, *names]), (), lambda: listing.select("video_id", "path").join(media.probe(listing, decoder), "video_id"))
+    meta = ws.stage("video_meta", f"{d}|{files[0]}|{files[1]}", (), lambda: listing.select("video_id", "path").join(media.probe(listing, decoder), "video_id"))
     scene = None
     if cfg.input_payload_format == "image_list" and cfg.frame_extraction_strategy == "scenedetect":
         scene = ws.stage("scenes", d, ("video_meta",), lambda: media.scenes(meta.where("duration_sec is not null"), decoder, cfg.scene_detect_threshold))
