@@ -15,7 +15,7 @@ from . import media, model, prompts
 from .config import Config
 from .state import Workspace
 
-_MAPPING = "chunk_identity_mapping array<struct<temp_name_in_chunk:string,match_result:string,confidence_score:double>>"
+_MAPPING = "chunk_identity_mapping array<struct<temp_name_in_chunk:string,match_result:string,confidence_score:string>>"
 _REVIEWS = "reviews array<struct<cluster_id:string,final_global_name:string,refined_visual_description:string,chosen_reason:string,preserve_temp_names:array<string>,preserve_reason:string>>"
 _CHAPTERS = "video_summary string, chapters array<struct<chapter_id:string,title:string,chapter_summary:string,start_time:string,end_time:string>>"
 _POLISHED = "chapters array<struct<chapter_id:string,events:array<struct<event_id:string,caption:string>>>>"
@@ -61,6 +61,10 @@ def align(ws: Workspace, chunks: DataFrame, candidates: DataFrame, videos: DataF
         got = _ask(ws, f"align/answers/round={i}", rq, backend).where("status = 'ok'")
         m = got.select("video_id", "chunk_i", F.posexplode(F.from_json("answer", _MAPPING)["chunk_identity_mapping"]).alias("j", "m"))
         m = m.select("video_id", "chunk_i", "j", "m.*").withColumn("match_result", F.trim(F.coalesce("match_result", F.lit(""))))
+        # A confidence that is no number makes its row an error, a missing one counts as sure.
+        wrong = F.col("confidence_score").isNotNull() & F.col("confidence_score").try_cast("double").isNull()
+        ws.put(f"align/errors/round={i}", m.where(wrong))
+        m = m.where(~wrong).withColumn("confidence_score", F.col("confidence_score").try_cast("double"))
         kept = I.dedup_mappings(m, now, ["video_id", "chunk_i"], ["j"]).select("video_id", "chunk_i", "j", "norm", "temp_name", "match_result", "confidence_score")
         own = ws.put(f"align/decisions/round={i}", kept)
         decisions = own if decisions is None else decisions.unionByName(own)

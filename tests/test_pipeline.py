@@ -42,7 +42,7 @@ def fake_model(request):
     if request["stage"] == "alignment":
         assert any(p["kind"] == "image_url" for p in request["parts"])
         known = "cluster_0001" if "cluster_0001" in text else "NEW"
-        return json.dumps({"chunk_identity_mapping": [{"temp_name_in_chunk": "[Ann]", "match_result": known, "confidence_score": 70}]}), usage
+        return json.dumps({"chunk_identity_mapping": [{"temp_name_in_chunk": "[Ann]", "match_result": known, "confidence_score": 70}, {"temp_name_in_chunk": "Ann", "match_result": "NEW", "confidence_score": "high"}]}), usage
     if request["stage"] == "review":
         assert 1 <= sum(p["kind"] == "image_url" for p in request["parts"]) <= 3
         return json.dumps({"reviews": [{"cluster_id": "cluster_0001", "final_global_name": "[Anna]", "refined_visual_description": "tall woman"}]}), None
@@ -98,6 +98,8 @@ def test_identity_flags_and_usage(spark, batch):
     _, _, out = batch
     flags = spark.read.parquet(out["root"] + "/low_confidence")
     assert flags.count() >= 1 and {r.cluster_id for r in flags.collect()} == {"cluster_0001"}
+    errors = spark.read.parquet(out["root"] + "/align/errors")
+    assert {r.confidence_score for r in errors.collect()} == {"high"}
     total = spark.read.parquet(out["root"] + "/usage").where("grain = 3").first()
     assert total.total_tokens == 15 * total.calls > 0
     stages = {r.stage for r in spark.read.parquet(out["root"] + "/usage").where("grain = 2").collect()}
