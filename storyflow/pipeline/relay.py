@@ -42,10 +42,15 @@ def perceive(ws: Workspace, videos: DataFrame, scenes: DataFrame | None, decoder
 
     Each wave leaves three tables: its answers, its events and the state after
     it. A batch that was broken off goes on after the last wave whose state is
-    complete. A failed call ends its video if failures are strict, else the
-    stretch is passed over.
+    complete; waves of other videos or settings, as the stage's hash tells, are
+    no part of it and are removed. A failed call ends its video if failures are
+    strict, else the stretch is passed over.
     """
     spark = ws.spark
+    want, mark = ws.hashes["perception"], f"{ws.root}/relay/_inputs"
+    if ws.read_text(mark) != want:
+        ws.remove(f"{ws.root}/relay")
+        ws.write_text(mark, want)
     wave = 0
     while ws.exists(f"{ws.root}/relay/state/wave={wave}/_SUCCESS"):
         wave += 1

@@ -48,6 +48,11 @@ class Workspace:
         fs.delete(p, False)
         fs.rename(tmp, p)
 
+    def remove(self, path: str) -> None:
+        """Delete a folder and all in it, if it is there."""
+        fs, p = self._fs(path)
+        fs.delete(p, True)
+
     def key(self, name: str, settings: str, after: tuple[str, ...]) -> str:
         text = "|".join([name, settings, *[self.hashes[a] for a in after]])
         self.hashes[name] = hashlib.sha256(text.encode()).hexdigest()[:24]

@@ -6,8 +6,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from storyflow.pipeline import Config, model, run_batch
+from storyflow.pipeline import Config, model, relay, run_batch
 from storyflow.pipeline.cli import parser, settings
+from storyflow.pipeline.state import Workspace
 
 
 class FakeDecoder:
@@ -134,6 +135,25 @@ def test_going_on_after_a_break_equals_one_run(spark, batch, tmp_path):
     assert read(again["root"]) == read(out["root"]) != []
 
 
+def test_a_second_call_perceives_new_and_replaced_videos(spark, tmp_path):
+    cfg = Config(max_frames_per_chunk=3)
+    backend = model.CallableBackend(fake_model, 1, _no_pause)
+
+    def totals(listing, videos):
+        ws = Workspace(spark, str(tmp_path))
+        ws.key("video_meta", listing, ())
+        ws.key("perception", cfg.digest(), ("video_meta",))
+        meta = spark.createDataFrame(videos, "video_id string, path string, duration_sec double")
+        waves = relay.perceive(ws, meta, None, FakeDecoder(), backend, cfg)
+        state = spark.read.parquet(f"{ws.root}/relay/state/wave={waves}")
+        return {r.video_id: (r.total, r.at) for r in state.collect()}, spark.read.parquet(f"{ws.root}/relay/answers").count()
+
+    assert totals("a", [("one", "one.mp4", 30.5)]) == ({"one": (30.0, 30.0)}, 1)
+    more = [("one", "one.mp4", 20.0), ("two", "two.mp4", 30.5)]
+    assert totals("b", more) == ({"one": (20.0, 20.0), "two": (30.0, 30.0)}, 2)
+    assert totals("b", more)[1] == 2
+
+
 def test_clips_instead_of_frames(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "short.mp4").write_bytes(b"x")
