@@ -1,8 +1,8 @@
 """Texts that break off: structure, terminators and learned sentence endings.
 
-A stack automaton over brackets, quotes, fences, tags, escapes and multi-byte
-sequences finds what was opened in the last sentence and never closed. A value
-without a final terminator is held against a baseline of endings: the
+A stack automaton over brackets, quotes, fences, tags, list items, escapes and
+multi-byte sequences finds what was opened anywhere in a value without a final
+terminator and never closed. What closes all it opens is held against a baseline of endings: the
 (beginning, ending) frames of all sentences of all values that are known to be
 whole, because a further sentence or a full stop follows. Frames are counted in
 each batch before any shuffle and matched by key, so neither the corpus nor the
@@ -31,40 +31,69 @@ _AFTER = re.compile(rf"(?:\s|[​-‏﻿]|[{_EMOJI}♪*_~`]|[(（]{_REMARK}[)）
 _BREAK = re.compile(r"(?:\s*(?:\[\s*(?:\.\.\.|…)\s*\]|\(\s*(?:\.\.\.|…)\s*\)|\.{2,}|…+|。。+))+$")
 _PAIRS = {"[": "]", "(": ")", "{": "}", "【": "】", "「": "」", "『": "』", "（": "）", "“": "”", "«": "»", "„": "“", "《": "》", "<": ">"}
 _CLOSE = {c: o for o, c in _PAIRS.items() if o not in "„<"}
-_TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*)[^<>]*>")
+_MARK = re.compile(r"```|<(?P<close>/?)(?P<tag>[A-Za-z][A-Za-z0-9]*)[^<>]*>|</?[A-Za-z][^<>]*\Z|[\"\[\](){}【】「」『』（）“”„«»《》]")
+# Tags that are whole without a closing one.
+_LONE = {f"<{t}>" for t in "area base br col embed hr img input li link meta option p param source td th tr track wbr".split()}
+#: A list item that was begun and not written, at the end of a text.
+_ITEM = re.compile(r"\n\s*(?:[-*•–]|[0-9]{1,3}[.)、．）]|[A-Za-z][.)])\s*\Z")
 _ESCAPE_CUT = re.compile(r"(?:\\(?:u[0-9a-fA-F]{0,3}|x[0-9a-fA-F]?)?|&(?:#[0-9]{0,6}|[A-Za-z]{1,8})|%[0-9A-Fa-f]?)$")
 
 
 def unclosed(text: str) -> list[tuple[str, int]]:
     """(mark, place) of what is opened and not closed, by a stack automaton
-    over brackets, curved quotes, code fences and tags."""
+    over brackets, double quotes, guillemets, code fences and tags. A quote that
+    opens again at the start of a line goes on; a straight quote behind a word
+    or number (an inch) or at the very end opens none; tags that nobody closes
+    count for nothing.
+    """
     stack: list[tuple[str, int]] = []
-    tags = {m.start(): m for m in _TAG.finditer(text)} if "<" in text else {}
-    skip = 0
-    for i, c in enumerate(text):
-        if i < skip:
-            continue
-        if c == "<":
-            if (m := tags.get(i)) and not m[0].endswith("/>"):
-                skip = m.end()
-                if not m[1]:
-                    stack.append((f"<{m[2].lower()}>", i))
-                elif stack and stack[-1][0] == f"<{m[2].lower()}>":
-                    stack.pop()
-        elif c == "`" and text.startswith("```", i):
-            skip = i + 3
-            if stack and stack[-1][0] == "```":
-                stack.pop()
-            else:
-                stack.append(("```", i))
-        elif c == "“" and stack and stack[-1][0] == "„":
-            stack.pop()
+    end = len(text.rstrip())
+    open_now: Counter[str] = Counter()
+
+    def push(mark: str, at: int) -> None:
+        stack.append((mark, at))
+        open_now[mark] += 1
+
+    def pop(*marks: str) -> bool:
+        """Close the nearest of the marks, and with it what was opened inside."""
+        if not any(open_now[m] for m in marks):
+            return False
+        while True:
+            mark, _ = stack.pop()
+            open_now[mark] -= 1
+            if mark in marks:
+                return True
+
+    for m in _MARK.finditer(text):
+        c, i = m[0], m.start()
+        before, after = text[i - 1 : i], text[m.end() : m.end() + 1]
+        if c == "```":
+            pop(c) or push(c, i)
+        elif c[0] == "<":
+            name = f"<{m['tag'].lower()}>" if m["tag"] else "<"
+            if m["close"]:
+                pop(name)
+            elif name not in _LONE and not c.endswith("/>"):
+                push(name, i)
+        elif c == '"':
+            if open_now[c]:
+                if before not in ("", "\n") or not after.isalnum():
+                    pop(c)
+            elif i + 1 < end and (not before.isalnum() or after.isalnum()):
+                push(c, i)
+        elif c == "“":
+            if not pop("„") and not (open_now[c] and before in ("", "\n")):
+                push(c, i)
+        elif c == "”":
+            pop("“", "„")
+        elif c in "«»":
+            if not pop("»" if c == "«" else "«") and (c == "«" or not before.strip() and after.isalnum()):
+                if not (open_now[c] and before in ("", "\n")):
+                    push(c, i)
         elif c in _PAIRS:
-            stack.append((c, i))
-        elif c in _CLOSE and any(o == _CLOSE[c] for o, _ in stack):
-            while stack[-1][0] != _CLOSE[c]:
-                stack.pop()
-            stack.pop()
+            push(c, i)
+        else:
+            pop(_CLOSE[c])
     return stack
 
 
@@ -114,7 +143,8 @@ class Endings:
         from all sentences that are known to be whole."""
         if no_answer(text):
             return "blank", None
-        bare = _bare(text)
+        item = _ITEM.search(text)
+        bare = _bare(text[: item.start()] if item else text)
         ends = bare.rstrip(_CLOSERS)
         if not ends:
             return "blank", None
@@ -126,7 +156,7 @@ class Endings:
         self._learn(parts)
         if bare[-1] == "�" or _ESCAPE_CUT.search(bare[-12:]):
             return "cut", None
-        if any(mark in "[【（({「『<" for mark, _ in unclosed(sentence)) or bare[-1] in ",;:，；：、-–—":
+        if item or bare[-1] in ",;:，；：、-–—" or unclosed(NAME.sub(" 〇 ", text)):
             return "cut", None
         f = sentence_frames(sentence)
         return ("open", [key(x) for x in f]) if f else ("cut", None)

@@ -27,6 +27,21 @@ def test_what_needs_no_baseline():
     assert read("It ends. And then he") == "open" == read("It ends. And then he…") == read("It ends. And then he (fin)")
 
 
+def test_every_open_mark_is_evidence():
+    whole = "He waits by the old door"
+    for t in (
+        f'It ends. [Ann] says: "{whole}', f"It ends. [Ann] says “{whole}", f"„Es regnet. {whole}", f"«Il pleut. {whole}", f"»Es regnet. {whole}", f"《雨. {whole}", f"```\nIt ends. {whole}", f"<b>It ends. {whole}", f"It ends. {whole} <i",
+        f"It ends. (He goes. {whole}", f"1. {whole}\n2.", f"- {whole}\n- ", f"“It ends.\n“{whole}",
+    ):
+        assert read(t) == "cut", t
+    for t in (
+        f'It ends. "{whole}"', f"It ends. “{whole}”", f"„{whole}“", f"„{whole}”", f"«{whole}»", f"»{whole}«", f"<b>{whole}</b>", f"<b><i>It ends.</b></i> {whole}", f"It ends.<br> {whole}", f"```[```{whole}", f'A 5" nail. {whole}', f"a) It ends. {whole}",
+        f"“It ends.\n“It ends.” {whole}", f"- It ends\n- {whole}", f"x < y. {whole} <3",
+    ):
+        assert read(t) == "open", t
+    assert read("It ends.\n2.") == "whole" == read(f'He says "{whole}.')
+
+
 def found(spark, texts):
     rows = [("f", "r", str(i), "s", t) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "field string, run_id string, item_id string, source string, text string").withColumns({"what": F.lit("x"), "n": F.lit(1)})
