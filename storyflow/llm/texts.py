@@ -24,14 +24,18 @@ NO_ANSWER = {
 }
 
 
+_LONGEST = max(map(len, NO_ANSWER))
+
+
 def no_answer(text: str | None) -> bool:
     """Null, or nothing but blanks, invisible characters, marks or a sign for
-    "no answer"."""
-    if text is None:
-        return True
-    if len(text) > 60:
-        return not any(c.isalnum() for c in text)
-    letters = "".join(c for c in text.casefold() if c.isalnum())
+    "no answer", however far apart its letters stand."""
+    letters = ""
+    for c in text or "":
+        if c.isalnum():
+            letters += "".join(f for f in c.casefold() if f.isalnum())
+            if len(letters) > _LONGEST:
+                return False
     return letters in NO_ANSWER or not letters
 
 

@@ -14,6 +14,9 @@ ZH = "[安]在厨房里打开门，雨水划过窗户。两人身后，雾气遮
 def test_no_answer():
     for t in (None, "", "  \n", "​﻿", "-", "...", "N/A", "n.a.", "<empty>", "None.", "无", "(sin respuesta)", "k. A.", "？！"):
         assert no_answer(t), t
+    for t in ("N/A", "<empty>", "None.", "(sin respuesta)", "无"):
+        assert all(no_answer(x) for x in (t + " " * 70, "\n" * 70 + t, t + "\u200b" * 70, "-" * 70 + t + "-" * 70)), t
+    assert not no_answer("None" + " " * 70 + "moves") and not no_answer("notapplicable" * 9)
     for t in ("Done", "[Ann]", "无人在场。", "No one moves.", "a"):
         assert not no_answer(t), t
 
