@@ -37,12 +37,13 @@ def dedup_mappings(mappings: DataFrame, candidates: DataFrame, keys: list[str],
     return known.withColumn("_n", n).where("_n = 1").drop("_n")
 
 
-def fold_clusters(decisions: DataFrame, key: str = "run_id", order: str = "p") -> DataFrame:
+def fold_clusters(decisions: DataFrame, key: str = "run_id", order: str = "p", split_below: float = SPLIT_BELOW, flag_below: float = FLAG_BELOW) -> DataFrame:
     """(key, order, cluster_id, is_new, low_conf): the rolling decision fold.
 
     A decision ``match_result`` is NEW or names a cluster; one that names none
-    of the clusters made so far, or whose ``confidence_score`` is below 50 (null
-    counts as 100), makes a new one; 50 to 79 merges and is flagged. Each key's
+    of the clusters made so far, or whose ``confidence_score`` is below ``split_below``
+    (null counts as 100), makes a new one; from there to below ``flag_below`` it
+    merges and is flagged. Each key's
     rows pass through in order with one counter as state: a key is one task's
     work by its nature, but it is streamed, never collected.
     """
@@ -59,13 +60,13 @@ def fold_clusters(decisions: DataFrame, key: str = "run_id", order: str = "p") -
                 conf = 100 if conf is None else conf
                 m = pattern.match((match or "").strip())
                 number = int(m[1]) if m else 0
-                fits = m is not None and 1 <= number <= made and m[1] == f"{number:04d}" and conf >= SPLIT_BELOW
+                fits = m is not None and 1 <= number <= made and m[1] == f"{number:04d}" and conf >= split_below
                 if not fits:
                     made += 1
                     number = made
                 cid.append(f"cluster_{number:04d}")
                 new.append(not fits)
-                low.append(fits and conf < FLAG_BELOW)
+                low.append(fits and conf < flag_below)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cid, pa.string()), pa.array(new, pa.bool_()), pa.array(low, pa.bool_())], names=[key, order, "cluster_id", "is_new", "low_conf"])
 
     ordered = decisions.select(key, order, "match_result", "confidence_score").repartition(key).sortWithinPartitions(key, order)

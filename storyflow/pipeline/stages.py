@@ -69,7 +69,7 @@ def align(ws: Workspace, chunks: DataFrame, candidates: DataFrame, videos: DataF
         own = ws.put(f"align/decisions/round={i}", kept)
         decisions = own if decisions is None else decisions.unionByName(own)
         placed = decisions.withColumn("p", (F.col("chunk_i") * 100_000 + F.col("j")).cast("int"))
-        fold = I.fold_clusters(placed, "video_id")
+        fold = I.fold_clusters(placed, "video_id", split_below=cfg.hard_split_threshold, flag_below=cfg.confidence_threshold)
         info = placed.join(fold, ["video_id", "p"]).join(one.select("video_id", "chunk_i", "norm", "descr", "anchor_ts"), ["video_id", "chunk_i", "norm"])
         info = ws.put(f"align/state/round={i}", info)
         sightings = info.select("video_id", "p", "chunk_i", "temp_name", "descr", "anchor_ts", "cluster_id")

@@ -54,24 +54,28 @@ FOLD_OUT = "run_id string, p int, cluster_id string, is_new boolean, low_conf bo
 _NUMBER = re.compile(r"cluster_([0-9]{4,})\Z")
 
 
-def _fold(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _fold(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState, split_below: float, flag_below: float) -> Iterator[pd.DataFrame]:
     made = state.get[0] if state.exists else 0
     out = []
     for p, match, conf in sorted(((int(r.p), r.match_result, r.confidence_score) for b in rows for r in b.itertuples()), key=lambda r: r[0]):
         conf = 100 if conf is None or pd.isna(conf) else conf
         m = _NUMBER.match((match or "").strip())
         number = int(m[1]) if m else 0
-        fits = m is not None and 1 <= number <= made and m[1] == f"{number:04d}" and conf >= SPLIT_BELOW
+        fits = m is not None and 1 <= number <= made and m[1] == f"{number:04d}" and conf >= split_below
         if not fits:
             made += 1
             number = made
-        out.append((key[0], p, f"cluster_{number:04d}", not fits, bool(fits and conf < FLAG_BELOW)))
+        out.append((key[0], p, f"cluster_{number:04d}", not fits, bool(fits and conf < flag_below)))
     state.update((made,))
     yield pd.DataFrame(out, columns=["run_id", "p", "cluster_id", "is_new", "low_conf"])
 
 
-def fold_stream(decisions: DataFrame) -> DataFrame:
+def fold_stream(decisions: DataFrame, split_below: float = SPLIT_BELOW, flag_below: float = FLAG_BELOW) -> DataFrame:
     """The cluster fold over (run_id, p, match_result, confidence_score) as they
     arrive: the state of a run is one number. Decisions of a run must arrive in
     the order of ``p``, as the rounds that make them do."""
-    return decisions.groupBy("run_id").applyInPandasWithState(_fold, FOLD_OUT, "made int", "append", GroupStateTimeout.NoTimeout)
+
+    def fold(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        return _fold(key, rows, state, split_below, flag_below)
+
+    return decisions.groupBy("run_id").applyInPandasWithState(fold, FOLD_OUT, "made int", "append", GroupStateTimeout.NoTimeout)

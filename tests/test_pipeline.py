@@ -6,7 +6,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from storyflow.pipeline import Config, model, relay, run_batch
+from storyflow.operators.identity import fold_clusters
+from storyflow.pipeline import Config, model, relay, run_batch, stages
 from storyflow.pipeline.cli import parser, settings
 from storyflow.pipeline.state import Workspace
 
@@ -154,6 +155,22 @@ def test_a_second_call_perceives_new_and_replaced_videos(spark, tmp_path):
     assert totals("b", more)[1] == 2
 
 
+def test_thresholds_of_confidence_reach_the_fold(spark, monkeypatch, tmp_path):
+    cols = "video_id string, p int, match_result string, confidence_score double"
+    df = spark.createDataFrame([("v", 0, "NEW", None), ("v", 1, "cluster_0001", 85.0), ("v", 2, "cluster_0001", 70.0), ("v", 3, "cluster_0001", 95.0)], cols)
+    fold = lambda *a: [(r.cluster_id[-1], r.low_conf) for r in fold_clusters(df, "video_id", "p", *a).orderBy("p").collect()]
+    assert fold() == [("1", False), ("1", False), ("1", True), ("1", False)]
+    assert fold(75, 90) == [("1", False), ("1", True), ("2", False), ("1", False)]
+    seen = []
+    monkeypatch.setattr(stages.I, "fold_clusters", lambda *a, **k: seen.append(k) or fold_clusters(*a, **k))
+    cand = spark.createDataFrame([("v", 0, 0, "Ann", "tall", "00:00:01")], "video_id string, chunk_i int, cand_i int, temp_name string, descr string, anchor_ts string")
+    chunks = spark.createDataFrame([("v", 0, "s")], "video_id string, chunk_i int, chunk_summary string")
+    meta = spark.createDataFrame([("v", "v.mp4")], "video_id string, path string")
+    cfg = Config(confidence_threshold=90, hard_split_threshold=75)
+    stages.align(Workspace(spark, str(tmp_path)), chunks, cand, meta, FakeDecoder(), model.CallableBackend(fake_model, 1, _no_pause), cfg)
+    assert seen == [{"split_below": 75, "flag_below": 90}]
+
+
 def test_clips_instead_of_frames(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "short.mp4").write_bytes(b"x")
