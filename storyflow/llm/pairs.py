@@ -33,34 +33,90 @@ _DECLINE = {
     ),
     "ru": r"\b(?:я )?(?:не могу|не смогу|не буду|не имею возможности|не вправе|вынужден\w* отказ\w*|должн\w* отказ\w*|отказываюсь|предпочту не|предпочитаю не)|\bмне (?:нельзя|не разрешено|не позволено)",
     "zh": r"(?:我|本人|本助手)[^。！？]{0,14}(?:无法|不能|不可以|不会|不便|不愿|不想|难以|没有办法|没办法|没法|拒绝|婉拒|谢绝|做不到)|(?:我|恕)[^。！？]{0,4}(?:难以|不便|无法|不能|难从命)|(?:我)?只能(?:拒绝|婉拒|谢绝)",
+    "it": r"\bnon (?:posso|potrò|potrei|riesco a|sono in grado|mi è (?:possibile|consentito|permesso)|me la sento|intendo)|\b(?:devo|debbo) (?:rifiutar\w*|declinare)|\b(?:preferisco|preferirei) non\b|\bmi rifiuto\b|\bmi è impossibile\b",
+    "pt": r"\bnão (?:posso|poderei|poderia|consigo|devo|vou|me é (?:possível|permitido)|me sinto|sou capaz|estou (?:autorizad\w+|em condições))|\b(?:prefiro|preferiria) não\b|\b(?:devo|tenho de|tenho que|preciso) (?:recusar|declinar)|\b(?:me recuso|recuso-me)\b|\bé-me impossível\b",
+    "ja": r"(?:説明|描写|記述|回答|お答え|対応|作成|提供|お手伝い|協力|お応え)[^。！？]{0,10}(?:できません|出来ません|できかね|いたしかね|致しかね|控え)|お断り(?:し|いた|致|させ)|(?:ご要望|ご依頼|リクエスト)[^。！？]{0,10}(?:応じられ|添えませ|添いかね|応えられ)",
+    "ko": r"(?:설명|묘사|답변|제공|작성|처리|응답|진행|도와|도움|응할|응해)[^.!?。]{0,14}(?:수 ?없|수가 없|어렵|곤란|못합니다|않겠)|(?:요청|설명|답변|작성)[^.!?。]{0,10}거(?:절|부)",
 }
 _TASK = re.compile(
     r"descri|caption|comment|continu|refin|passage|request|clip|frame|segment|content|help|assist|provid|generat|writ|image|video|answer|people|this"
     r"|beschreib|anfrage|bild|ausschnitt|abschnitt|äußern|bearbeit|helfen|inhalt|text|antwort|verfass|unterstütz"
     r"|petición|redact|fragmento|fotograma|solicitud|ayud|contenido|respond|escrib|imagen|escena"
     r"|décri|demande|aider|contenu|rédig|répondre|extrait|запрос|опис|коммент|помо|содерж|отрыв|кадр|подпис|ответ"
+    r"|richiest|aiutar|contenut|fotogramm|sequenz|risponder|scriver|immagin|didascali|filmato|pedido|solicitaç|conteúdo|quadro|respond|escrev|imagem|cena|legenda|vídeo|ajudar"
+    r"|説明|描写|記述|依頼|リクエスト|要望|映像|動画|画像|場面|内容|回答|答え|手伝|설명|묘사|요청|영상|장면|이미지|도와|도움|답변|내용|캡션|작성"
     r"|描述|说明|评论|润色|处理|请求|撰写|画面|片段|这些帧|提供|继续|回答|协助|帮|生成|内容|字幕|文案",
     re.I,
 )
 _CORE = re.compile("|".join(f"(?:{p})" for p in _DECLINE.values()), re.I)
-#: Sentences that may stand beside the refusal: an apology, a reason, an offer.
-_NARRATED = re.compile(r"[\[【「][^\[\]【】「」\n]{1,40}[\]】」]")
+# Words of which each grammar needs one; those of other scripts need a sign.
+_HINTS = {
+    "en": frozenset("i we me us".split()), "de": frozenset("ich mir".split()), "es": frozenset("no debo tengo niego resulta".split()), "fr": frozenset("je m moi".split()),
+    "it": frozenset("non devo debbo rifiuto impossibile".split()), "pt": frozenset("não devo tenho preciso recuso impossível".split()),
+}
+_SIGNS = {"ru": re.compile("[А-я]"), "zh": re.compile("[我恕]|本人|本助手|只能"), "ja": re.compile("[ぁ-ん]"), "ko": re.compile("[가-힣]")}
+_GRAMMAR = {lang: re.compile(p, re.I) for lang, p in _DECLINE.items()}
+_LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def _declines(text: str) -> bool:
+    """Whether any grammar matches; only those whose words occur are tried."""
+    words = set(_LETTERS.findall(text.lower()))
+    if any(not hints.isdisjoint(words) and _GRAMMAR[lang].search(text) for lang, hints in _HINTS.items()):
+        return True
+    return not text.isascii() and any(sign.search(text) and _GRAMMAR[lang].search(text) for lang, sign in _SIGNS.items())
+
+
+_NAMED = re.compile(r"[\[【「][^\[\]【】「」\n]{1,40}[\]】」]")
+# Verbs of saying, by which a person of the scene is the one who declines.
+_SAYS = re.compile(r"\b(?:say|says|said|tell|ask|repl|answer|whisper|shout|mutter|explain|apologi|sag|frag|antwort|flüster|ruf|dice|pregunta|responde|susurra|grita|dit|demande|répond|murmure|chiede|risponde|diz|pergunta)|говор|сказа|отвеча|шеп|[说道问答喊]|と言|말하|말했", re.I)
+# An apology, a reason or an offer, in which the speaker, the one spoken to or a rule appears.
+_BESIDE = re.compile(
+    r"\b(?:i|me|my|we|us|our|you|your|sorry|apolog\w+|unfortunately|regret\w*|please|thanks?|instead|guidelines?|polic\w+|privacy|safety|consent|violat\w+|restrict\w+|sensitive"
+    r"|ich|mir|mich|mein\w*|wir|uns|ihnen|leider|entschuldig\w+|bitte|richtlinien?|datenschutz|stattdessen|bedau\w+"
+    r"|me|mi|mis|usted|te|puedo|siento|lamento|disculp\w+|perdón|favor|política\w*|normas|privacidad"
+    r"|je|moi|mes|vous|votre|désolée?|malheureusement|navrée?|excus\w+|règles|confidentialité"
+    r"|mio|mia|lei|posso|spiace|dispiace|scus\w+|purtroppo|politiche|regole|você|seu|sua|minha|meu|desculp\w+|infelizmente|lamento|diretrizes"
+    r"|я|мне|меня|мы|вы|вам|вас|ваш\w*|извин\w+|простите|сожален\w+|пожалуйста|правил\w*)\b"
+    r"|我|您|抱歉|对不起|遗憾|请|政策|规定|隐私|申し訳|恐れ入|すみません|ください|ガイドライン|ポリシー|죄송|미안|양해|주세요|정책|지침",
+    re.I,
+)
+
+
+def _speaks(sentence: str) -> bool:
+    """True if a sentence declines a task and it is not a named person of the
+    scene who does so."""
+    m = _CORE.search(sentence)
+    if not m or not _TASK.search(sentence):
+        return False
+    before = sentence[: m.start()]
+    n = _NAMED.search(before)
+    return not n or bool(before[: n.start()].strip(" \"'“”„«»*-")) and not _SAYS.search(before)
 
 
 def is_refusal(text: str) -> bool:
     """True if the speaker of the whole text declines the task.
 
-    Quoted speech and what signs say is not the speaker's; a text that goes on
-    to name the persons of the scene does not refuse.
+    Quoted speech and what signs say is not the speaker's. The declining
+    sentence may name whom it will not describe; a text whose other sentences
+    go on to name the persons of the scene, or describe more than they excuse,
+    explain or offer, does not refuse.
     """
-    if _NARRATED.search(text) or not _CORE.search(text):
+    if not _declines(text):
         return False
     plain = _QUOTED.sub(" ", text)
     if len(plain) < 0.5 * len(text):
         plain = text.strip(" \"'“”„«»「」『』\n\t")
-    declined = [s for s in SENTENCES.split(plain) if s and _CORE.search(s) and _TASK.search(s)]
-    others = sum(len(s) for s in SENTENCES.split(plain) if s) - sum(map(len, declined))
-    return bool(declined) and others <= 260
+    sentences = [s for s in SENTENCES.split(plain) if s]
+    declined = [s for s in sentences if _speaks(s)]
+    if not declined:
+        return False
+    others = [s for s in sentences if not _speaks(s)]
+    beside = [s for s in others if _BESIDE.search(s)]
+    told = [s for s in others if not _BESIDE.search(s)]
+    if any(_NAMED.search(s) for s in told):
+        return False
+    return sum(map(len, told)) <= max(260, sum(map(len, declined)) + sum(map(len, beside)))
 
 
 def tiles(a: list[str], b: list[str], least: int = 3) -> list[tuple[int, int, int]]:

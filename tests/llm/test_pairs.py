@@ -36,6 +36,20 @@ def test_refusals():
         assert not pairs.is_refusal(t), t
 
 
+def test_refusals_that_name_persons_explain_or_speak_other_languages():
+    sorry = "I am sorry that I have to disappoint you here. My guidelines do not let me comment on such material, and I know that you may need it soon. "
+    for t in (
+        "I'm sorry, but I can't describe [Anna] in this clip.", "我无法描述[安]在片段中的动作。", "Ich kann [Anna] in diesem Ausschnitt leider nicht beschreiben.", "I'm sorry about [Anna]. I cannot help with this request.",
+        sorry * 4 + "I can't describe this clip.", "Mi dispiace, ma non posso descrivere questa scena.", "Desculpe, não posso descrever esta imagem.", "申し訳ありませんが、この映像を説明することはできません。", "죄송하지만 이 영상을 설명할 수 없습니다.",
+    ):
+        assert pairs.is_refusal(t), t
+    for t in (
+        "[Anna] says I can't describe this clip.", "Near the door [Anna] says I can't help with this.", "I can't describe this clip. [Anna] opens the door and looks out.", EN + " I can't describe this clip.",
+        "[Anna] non riesce a chiudere la finestra.", "ドアが開きません。", "문을 열 수 없습니다.",
+    ):
+        assert not pairs.is_refusal(t), t
+
+
 def test_copies():
     assert pairs.is_copy(EN, EN) and pairs.is_copy(EN, f"Refined caption: {EN.upper()}") and pairs.is_copy(EN, "“" + EN.replace("[", "").replace("]", "").replace(",", " ;") + "” Done.")
     assert pairs.is_copy(ZH, "精修结果：" + ZH + "完成。") and pairs.is_copy("Yes.", "yes")
