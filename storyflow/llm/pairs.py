@@ -148,28 +148,39 @@ def tiles(a: list[str], b: list[str], least: int = 3) -> list[tuple[int, int, in
                 out.append((i, j, best))
 
 
+def _given(a: list[str], b: list[str], least: int = 3) -> list[bool]:
+    """For each token of ``b`` whether it stands in a phrase of ``a``: no tiling
+    can cover another one."""
+    known = set(zip(*(a[k:] for k in range(least))))
+    out = [False] * len(b)
+    for j, phrase in enumerate(zip(*(b[k:] for k in range(least)))):
+        if phrase in known:
+            out[j : j + least] = [True] * least
+    return out
+
+
 def is_copy(prompt: str, response: str) -> bool:
-    """True if the response gives the prompt back and adds no substance: its
-    tiles cover the prompt, and beside them stand only a label or a closing
-    word of a few tokens."""
-    if not 0.6 * len(prompt) - 20 <= len(response) <= 1.6 * len(prompt) + 40:
-        return False
+    """True if the response gives the prompt back, once or again and again, and
+    adds no substance: its tiles cover the prompt, and beside what is given back
+    stand only a label or a closing word of a few tokens."""
     a, b = WORD.findall(prompt.casefold()), WORD.findall(response.casefold())
     if len(a) < 3 or len(b) < 3:
-        return bool(a) and a == b
-    joined = " ".join(b)
-    probes = {0, len(a) // 3, (2 * len(a)) // 3, len(a) - 3}
-    if not any(" ".join(a[i : i + 3]) in joined for i in probes if 0 <= i <= len(a) - 3):
+        return bool(a) and len(b) >= len(a) and b == a * (len(b) // len(a))
+    size = lambda ws: sum(map(len, ws))
+    words = set(b)
+    if size(w for w in a if w in words) < 0.85 * size(a):
         return False
-    got = tiles(a, b)
-    if not got:
+    mine = _given(b, a)
+    if size(w for w, g in zip(a, mine) if g) < 0.85 * size(a):
         return False
-    size = lambda ws: sum(map(len, ws))
-    if sum(size(a[i : i + n]) for i, _, n in got) < 0.85 * size(a):
+    given = _given(a, b)
+    first, last = given.index(True), len(b) - given[::-1].index(True)
+    inner = size(w for w, g in zip(b[first:last], given[first:last]) if not g)
+    if size(b[:first]) > 30 or size(b[last:]) > 30 or first > 8 or len(b) - last > 8 or inner > 0.1 * size(b):
         return False
-    first, last = min(j for _, j, _ in got), max(j + n for _, j, n in got)
-    inner = size(b[first:last]) - sum(size(b[j : j + n]) for _, j, n in got)
-    return size(b[:first]) <= 30 and size(b[last:]) <= 30 and first <= 8 and len(b) - last <= 8 and inner <= 0.1 * size(b)
+    # One giving back lies in the first stretch; what follows it is given back again.
+    got = tiles(a, b[: 2 * len(a) + 16])
+    return sum(size(a[i : i + n]) for i, _, n in got) >= 0.85 * size(a)
 
 
 def other_language(prompt: str, response: str) -> bool:

@@ -57,6 +57,16 @@ def test_copies():
     assert not pairs.is_copy(EN, EN.split(",")[0]) and not pairs.is_copy(EN, DE) and not pairs.is_copy("", "x")
 
 
+def test_copies_laid_out_repeated_or_altered():
+    wide = EN.replace(" ", " " * 9)
+    assert pairs.is_copy(EN, wide) and pairs.is_copy(wide, EN) and pairs.is_copy(EN, f"{EN}\n\n{EN}") and pairs.is_copy(EN, " ".join([EN] * 40)) and pairs.is_copy("Yes.", "Yes. Yes.")
+    assert pairs.is_copy(ZH, ZH + "\n" * 300 + ZH) and not pairs.is_copy(EN, EN + DE) and not pairs.is_copy(EN, f"{EN} {DE} {EN}") and not pairs.is_copy("Yes.", "Yes. No.")
+    words = [f"w{i}" for i in range(60)]
+    for i in (1, 21, 41, 58):  # where four phrases were looked up
+        words[i] = "x"
+    assert pairs.is_copy(" ".join(f"w{i}" for i in range(60)), " ".join(words))
+
+
 def test_tiles_are_longest_first_and_disjoint():
     a, b = "a b c d e f g".split(), "c d e f x a b c".split()
     assert pairs.tiles(a, b) == [(2, 0, 4)]
