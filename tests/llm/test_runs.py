@@ -33,13 +33,40 @@ def test_slips_and_differences(spark):
     cases = {
         base: True, base.replace("while", "whlie"): True, base.replace("headlights", "headligthts"): True, base.replace("examines", "exaamines"): True, base.replace("the table", "teh table"): True,
         base.replace("daka", "kada"): False, base.replace("daka", "dakaka"): False, base.replace("examines", "polishes"): False, base.replace("on", "in"): False, base + " slowly": False,
-        base.replace("daka", "rove"): False,
+        base.replace("daka", "rove"): False, base.replace("headlights", "healdights"): True, base.replace("headlights", "headlight"): False, base.replace("table", "stable"): False,
     }
     df = spark.createDataFrame([(base, c) for c in cases], "a string, b string")
     got = [r[0] for r in df.select(runs.same_telling(F.col("a"), F.col("b"))).collect()]
     assert got == list(cases.values())
 
 
+def test_slips_on_both_sides(spark):
+    pairs = {("healdights", "headligthts"): True, ("suuspicious", "suspiicous"): True, ("visiblemente", "visiblmeentte"): True, ("started", "stared"): False, ("silent", "listen"): False, ("bowl", "bow"): False}
+    df = spark.createDataFrame(list(pairs), "a string, b string")
+    assert [r[0] for r in df.select(runs.same_telling(F.col("a"), F.col("b"))).collect()] == list(pairs.values())
+    long = " ".join(f"word{i} lantern" for i in range(60))
+    many = long.replace("lantern", "lanntern")  # sixty slips in one caption
+    assert spark.createDataFrame([(long, many)], "a string, b string").select(runs.same_telling(F.col("a"), F.col("b"))).first()[0]
+
+
+def test_misspelt_linking_phrase(spark):
+    assert len(set(keys(spark, ["Once more looking calm, [Ann] waits", "Ocne more Looking calm, [ann] waits.", "looking calm [Ann] waits"]))) == 1
+
+
+def test_order_is_by_time_however_it_is_written(spark):
+    rows = [
+        ("r", 0, 0, "[00:00:50]", None, "[A] waits."), ("r", 0, 1, "00:00:52", None, "[B] runs."), ("r", 0, 2, " [00:00:54] ", None, "[B] runs"), ("r", 0, 3, "【00:00:56.5】", "[00:00:57]", "[B] runs"),
+        ("r", 0, 4, "[000:01:58]", None, "[A] waits."), ("r", 0, 5, "00:01:59.250", None, "[A] waits"), ("r", 0, 6, "[00:02:01]", None, "[A] waits"),
+        ("r", 0, 9, "00:03:00", None, "[C] sits"), ("r", 0, 8, "[00:03:00]", None, "[A] waits"), ("r", 0, 7, " 00:03:00", None, "[A] waits"),  # one time: chunk_i and ev_i decide
+    ]
+    assert collapse(spark, rows) == [("r", 0, 1, 3, 5_000), ("r", 0, 4, 5, 62_000)]
+
+
+def test_an_earlier_end_beyond_the_stretch_does_not_count(spark):
+    rows = [("r", 0, 0, "[00:00:01]", "[00:30:00]", "[A] waits."), ("r", 0, 1, "[00:00:02]", "[00:00:09]", "[B] runs."), ("r", 0, 2, "[00:00:03]", "[00:00:04]", "[B] runs.")]
+    assert collapse(spark, rows) == [("r", 0, 1, 2, 7_000)]
+
+
 def test_stretches(spark):
     rows = [
         ("r", 0, 0, "[00:00:50]", "[00:00:55]", "[A] waits."), ("r", 0, 0, "[00:00:50]", "[00:00:55]", "[A] waits."),  # delivered twice
