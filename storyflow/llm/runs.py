@@ -64,31 +64,40 @@ _LONG_LINKS = tuple(p for p in LINKING if len(p.replace(" ", "")) >= 7 and p.isa
 def _without_misspelt_link(k: Column) -> Column:
     """A key without a linking phrase at its start that holds a slip of the pen."""
     out = k
-    for n in sorted({p.count(" ") + 1 for p in _LONG_LINKS}, reverse=True):
+    for n in sorted({p.count(" ") + 1 for p in _LONG_LINKS}):
+        links = [p for p in _LONG_LINKS if p.count(" ") + 1 == n]
         head = F.substring_index(k, " ", n)
         marks = F.concat_ws("", F.array_sort(F.split(F.regexp_replace(head, r"(.)\1+", "$1"), "")))
-        known = sorted({"".join(sorted(re.sub(r"(.)\1+", r"\1", p))) for p in _LONG_LINKS if p.count(" ") + 1 == n})
-        starts = sorted({c for p in _LONG_LINKS if p.count(" ") + 1 == n for c in p[:2]})
-        out = F.when(F.substring(k, 1, 1).isin(starts) & marks.isin(known) & (F.length(k) > F.length(head)), F.substring(k, F.length(head) + 2, 1 << 30)).otherwise(out)
+        known = sorted({"".join(sorted(re.sub(r"(.)\1+", r"\1", p))) for p in links})
+        begins = F.substring(k, 1, 1).isin(sorted({c for p in links for c in p[:2]}))
+        size = F.length(head)
+        fits = begins & (size >= min(map(len, links)) - 1) & (size <= max(map(len, links)) + 2) & (size < F.length(k))
+        out = F.when(fits & marks.isin(known), F.substring(k, size + 2, F.lit(1 << 30))).otherwise(out)
     return out
 
 
-def caption_key(caption: Column) -> Column:
-    """A caption without what belongs to its surface: case, layout, brackets,
+def with_caption_key(df: DataFrame, caption: str, name: str) -> DataFrame:
+    """``df`` with the key of a caption as ``name`` instead of the caption: the
+    text without what belongs to its surface: case, layout, brackets,
     punctuation, the Chinese particle 的, linking words at the start and remarks
     that it goes on at the end. Null for a null or blank caption. A caption of
     nothing but punctuation is its own key.
+
+    Each step is a column of its own, so that no text is rewritten twice.
     """
-    k = F.regexp_replace(F.replace(F.lower(caption), F.lit("ß"), F.lit("ss")), r"[^\p{L}\p{N}]+", " ")
+    k, c = F.col(name), F.col(caption)
+    out = df.withColumn(name, F.regexp_replace(F.replace(F.lower(c), F.lit("ß"), F.lit("ss")), r"[^\p{L}\p{N}]+", " "))
     han = F.regexp_replace(k, f"(?<={_HAN}) (?={_HAN})|的", "")
     han = F.regexp_replace(han, f"(?<={_HAN})(?=[^㐀-鿿 ])|(?<=[^㐀-鿿 ])(?={_HAN})", " ")
-    k = F.trim(F.when(k.rlike(_HAN), han).otherwise(k))
-    bare = F.regexp_replace(k, f"^(?:(?:{_alternatives(LINKING)})(?: |$|(?<={_HAN})))+", "")
-    bare = _without_misspelt_link(bare)
+    out = out.withColumn(name, F.trim(F.when(k.rlike(_HAN), han).otherwise(k)))
+    blank = c.isNull() | ((k == "") & c.rlike(r"^[\s\p{Z}\p{C}]*$"))
+    out = out.withColumn(name, F.when(~blank, F.when(k == "", F.trim(c)).otherwise(k))).drop(caption)
+    out = out.withColumn("_bare", F.regexp_replace(k, f"^(?:(?:{_alternatives(LINKING)})(?: |$|(?<={_HAN})))+", ""))
+    out = out.withColumn("_bare", _without_misspelt_link(F.col("_bare")))
     # Read from the end, so that the pattern is tried at one place only.
-    bare = F.reverse(F.regexp_replace(F.reverse(bare), f"^(?:(?:{_alternatives(GOES_ON, True)})(?: |$|(?={_HAN})))+", ""))
-    blank = caption.isNull() | caption.rlike(r"^[\s\p{Z}\p{C}]*$")
-    return F.when(~blank, F.coalesce(F.nullif(F.trim(bare), F.lit("")), F.nullif(k, F.lit("")), F.trim(caption)))
+    bare = F.reverse(F.regexp_replace(F.reverse("_bare"), f"^(?:(?:{_alternatives(GOES_ON, True)})(?: |$|(?={_HAN})))+", ""))
+    out = out.withColumn("_bare", F.trim(bare))
+    return out.withColumn(name, F.when(F.col("_bare") == "", k).otherwise(F.col("_bare"))).drop("_bare")
 
 
 def same_telling(a: Column, b: Column) -> Column:
@@ -126,8 +135,9 @@ def collapse_runs(progress: DataFrame, piece_ms: int = 60_000) -> DataFrame:
     start, end = readable_ms(F.col("start_time")), readable_ms(F.col("end_time"))
     e = progress.select(
         "run_id", "chunk_i", "ev_i", start.alias("at"), F.greatest(start, end).alias("late"),
-        caption_key(F.col("step3_synthesized_dense_caption")).alias("k"),
+        F.col("step3_synthesized_dense_caption").alias("caption"),
     ).where(F.col("at").isNotNull())
+    e = with_caption_key(e, "caption", "k")
     e = e.withColumn("piece", F.floor(F.col("at") / piece_ms))
     w = W.partitionBy("run_id", "piece").orderBy("at", "chunk_i", "ev_i", "k", "late")
     running = w.rowsBetween(W.unboundedPreceding, 0)

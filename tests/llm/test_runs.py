@@ -14,7 +14,7 @@ def collapse(spark, rows):
 
 def keys(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    return [r.k for r in df.select("i", runs.caption_key(F.col("t")).alias("k")).orderBy("i").collect()]
+    return [r.k for r in runs.with_caption_key(df, "t", "k").orderBy("i").collect()]
 
 
 def test_keys_drop_the_surface_only(spark):
