@@ -13,14 +13,15 @@ _STRICT = r"^[0-9]{2,}:[0-5][0-9]:[0-5][0-9](\.[0-9]{1,3})?$"
 _INSIDE = r"(?<![0-9:.])[0-9]{2,}:[0-5][0-9]:[0-5][0-9](?:\.[0-9]{1,3})?(?![0-9:.])"
 
 
-def _plain_ms(t: Column) -> Column:
-    p = F.split(t, "[:.]")
-    part = lambda i: p.getItem(i).try_cast("bigint")
-    ms = F.coalesce(F.rpad(F.get(p, F.lit(3)), 3, "0").try_cast("bigint"), F.lit(0))
-    hours = part(0)
-    return F.when(
-        hours <= 2_000_000_000, hours * 3_600_000 + part(1) * 60_000 + part(2) * 1_000 + ms
-    )
+def plain_ms(t: Column) -> Column:
+    """Milliseconds of a time text that has the strict form as it stands; null
+    for an hour count beyond 2e9."""
+    hours = F.substring_index(t, ":", 1)
+    h = F.length(hours)
+    part = lambda at, n: F.substring(t, h + at, F.lit(n)).try_cast("bigint")
+    ms = F.coalesce(F.rpad(F.substring(t, h + 8, F.lit(3)), 3, "0").try_cast("bigint"), F.lit(0))
+    count = hours.try_cast("bigint")
+    return F.when(count <= 2_000_000_000, count * 3_600_000 + part(2, 2) * 60_000 + part(5, 2) * 1_000 + ms)
 
 
 def readable_ms(x: Column) -> Column:
@@ -31,15 +32,21 @@ def readable_ms(x: Column) -> Column:
     minutes, two-part times and words give null; an hour count beyond 2e9 too.
     """
     t = F.btrim(x, F.lit(EDGE))
-    return F.when(t.rlike(_STRICT), _plain_ms(t))
+    return F.when(t.rlike(_STRICT), plain_ms(t))
 
 
-def readable_range_ms(x: Column) -> tuple[Column, Column]:
-    """The two readable times of a range text, each null unless the text holds
-    exactly two of them (``[a] - [b]``, ``a–b`` and ``a-b`` alike)."""
+def range_texts(x: Column) -> Column:
+    """The two times a range text holds, as texts, null unless it holds exactly
+    two (``[a] - [b]``, ``a–b`` and ``a-b`` alike)."""
     both = F.regexp_extract_all(x, F.lit(_INSIDE), F.lit(0))
-    ok = F.size(both) == 2
-    return F.when(ok, _plain_ms(F.get(both, F.lit(0)))), F.when(ok, _plain_ms(F.get(both, F.lit(1))))
+    return F.get(F.filter(F.array(both), lambda y: F.size(y) == 2), F.lit(0))
+
+
+def readable_range_ms(x: Column) -> tuple[Column, Column]:
+    """The two readable times of a range text, both null unless it holds
+    exactly two."""
+    both = range_texts(x)
+    return plain_ms(F.get(both, F.lit(0))), plain_ms(F.get(both, F.lit(1)))
 
 
 def parse_seconds(x: Column) -> Column:

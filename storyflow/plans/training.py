@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..common import load
-from ..functions.timecode import readable_ms, readable_range_ms
 from ..operators import intervals, nested
 from ..sources.adapters import FINAL_ITEMS, POLISHED_KEYS
 
@@ -18,10 +16,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    progress = load(spark, sf_dir, "pass1_progress")
-    both = intervals.level_intervals(
-        progress, readable_ms(F.col("start_time")), readable_range_ms(F.col("chunk_time_range")), readable_ms(F.col("end_time"))
-    )
+    both = intervals.level_intervals(load(spark, sf_dir, "pass1_progress"))
     return intervals.periods_and_gaps(both, ["run_id", "level"], "a", "b")
 
 

@@ -49,3 +49,25 @@ def test_hot_key_with_repeats(spark):
 
 def test_empty(spark):
     assert run(spark, [], 100) == []
+
+
+def test_intervals_over_many_shards(spark):
+    """However long an interval is, it gives three rows."""
+    far = 99_999_999 * 3_600_000
+    rows = [("a", 0, far), ("a", 500, 700), ("a", far, far + 20), ("a", far + 50, far + 60), ("b", 95, 2055), ("b", 2060, 2070), ("b", 300, 310), ("b", 1000, 1990), ("b", 10, 20), ("c", 0, 900), ("c", 900, 901)]
+    for shard in (10, 100, 120_000):
+        assert run(spark, rows, shard) == brute(rows)
+
+
+def test_random_long_and_short_intervals(spark):
+    random.seed(3)
+    rows = [(random.choice("abcdefgh"), a := random.randrange(0, 40_000), a + random.choice([1, 3, 7, 40, 200, 3000])) for _ in range(300)]
+    for shard in (5, 64, 333):
+        assert run(spark, rows, shard) == brute(rows)
+
+
+def test_an_end_of_a_hundred_million_hours(spark):
+    cols = "run_id string, start_time string, end_time string, chunk_time_range string"
+    df = spark.createDataFrame([("r", "[00:00:01]", "[99999999:00:00]", "[00:00:00] - [99999:00:00]"), ("r", "00:00:00.5", "00:00:00.75", "no"), (None, None, None, None)], cols)
+    got = sorted(tuple(r) for r in I.periods_and_gaps(I.level_intervals(df), ["run_id", "level"], "a", "b").collect())
+    assert got == [("r", "chunk", "period", 0, 99_999 * 3_600_000), ("r", "event", "gap", 750, 1000), ("r", "event", "period", 500, 750), ("r", "event", "period", 1000, 99_999_999 * 3_600_000)]
