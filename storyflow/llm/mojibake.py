@@ -16,6 +16,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +28,9 @@ RIGHT = ("utf-8", "gb18030", "cp1251", "koi8-r", "cp1252", "cp866", "mac_roman",
 
 _DOUBLE = {"gb18030", "big5", "cp932", "cp949"}
 _DOUBLE_WRONG = _DOUBLE | {"cp949"}
-_PAIRED = re.compile(r"[^\x00-\x7f]{6}")
+_CYRILLIC = {"cp1251", "koi8-r", "cp866"}
+_PAIRED = re.compile(r"[^\x00-\x7f]{6}|[^\x00-\x7f][0-9][^\x00-\x7f][0-9]")
+_THREE = re.compile(r"[^\x00-\x7f]{3}")
 _FIVE = "".join(map(chr, range(0x80, 0xA0)))
 _C1 = re.compile(r"[\x80-\x84\x86-\x9f]")
 _LOST = "�"
@@ -37,8 +40,15 @@ _NON_ASCII = re.compile(r"[^\x00-\x7f]")
 _RUN = re.compile(r"[A-Za-z]*[^\x00-\x7f]+(?:[ -~]{0,2}[^\x00-\x7f]+)*[A-Za-z]*")
 _SEGMENT = re.compile(r"[^\n]*?(?:[.!?](?=\s|[^\x00-\x7f])|[。！？]|\n|$)", re.S)
 _SIDES = re.compile(r"[\u2e80-\u9fff\uff00-\uff60]+|[^\u2e80-\u9fff\uff00-\uff60]+")
-_STRAY_LETTER = re.compile(r"(?<![^\W\d_])[^\W\d_](?![^\W\d_])")
-_GLUED = re.compile(r"[^\W\d_][^\w\s\x00-\x7f‘’ʼ…–—·‐‑\u00ad\u0300-\u036f\u3000-\u303f\uff00-\uff60\u200b-\u200d\ufe0f\U0001f000-\U0001faff\u2600-\u27bf\u2022]+(?=[^\W\d_])")
+_STRAY_LETTER = re.compile(r"(?<![^\W\d_])(?=[\u0080-\u052f])[^\W\d_](?![^\W\d_])")
+#: Anything but letters of the usual scripts and wide marks; without one no sign can be out of place.
+_SIGN = re.compile(r"[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0400-\u052f\u3000-\u30ff\u3400-\u9fff\uac00-\ud7a3\uff00-\uff60]")
+#: Marks right behind letters, or inside a word, that no writing puts there. The endings are those Spanish words have behind ñ and ó.
+_OUT_OF_PLACE = re.compile(
+    r"(?<=[^\W\d_])[\u201a](?![^\W\d_]*[\u2018\u2019])|(?<=[^\W\d_])[\u00a1\u00bf](?![A-Z\u00c0-\u00de])|(?<=[^\W\d_]{2})\u00b0(?!\d)"
+    r"|(?<=[aeiou])\u2013(?=(?:os?|as?|or|ora|ores|ola?|ana|al|ad[ao])\b)|(?<=[a-z])\u2014(?=n\b)"
+)
+_GLUED = re.compile(r"[^\W\d_][^\w\s\x00-\x7f¡¿‘’ʼ…–—·‐‑\u00ad\u0300-\u036f\u3000-\u303f\uff00-\uff60\u200b-\u200d\ufe0f\U0001f000-\U0001faff\u2600-\u27bf\u2022]+(?=[^\W\d_])")
 _SUMS = re.compile(r"[\u2190-\u22ff](?=[^\W\d_])|(?<=[^\W\d_])[\u2190-\u22ff]")
 _HANGING = re.compile(r"(?<=\s)[–—](?=[^\W\d_])")
 _RAISED = re.compile(r"(?<=[^\W\d_])[²³¹¼½¾ªº](?=[^\W\d_])")
@@ -107,7 +117,7 @@ def _char(c: str) -> tuple[float, str]:
         return 0.3, "greek"
     if cat[0] == "L":
         return 0.6, "other"
-    if c in "–—‘’“”„«»…‹›·•°€£¥§©®™½¼¾×÷±²³¹¿¡№→←↑↓☆★♪、。，！？；：（）【】「」『』《》〈〉～\u00a0\u3000\u200d\u200b\u200c\u2010\u2011\u2009\u202f\ufeff":
+    if c in "–—‘’‚“”„«»…‹›·•°€£¥§©®™½¼¾×÷±²³¹¿¡№→←↑↓☆★♪、。，！？；：（）【】「」『』《》〈〉～\u00a0\u3000\u200d\u200b\u200c\u2010\u2011\u2009\u202f\ufeff":
         return 0.02, "mark"
     if 0x1F000 <= o <= 0x1FAFF or 0x2600 <= o <= 0x27BF or 0xFE00 <= o <= 0xFE0F or 0xFF00 <= o <= 0xFF60:
         return 0.02, "mark"
@@ -163,20 +173,35 @@ def _word_cost(w: str) -> float:
     return cost
 
 
-def cost(text: str) -> float:
+@lru_cache(maxsize=65536)
+def _own(c: str) -> float:
+    return _char(c)[0]
+
+
+@lru_cache(maxsize=65536)
+def _cached_word_cost(w: str) -> float:
+    return _word_cost(w)
+
+
+def cost(text: str, limit: float = float("inf")) -> float:
     """What the characters of a text and their neighbours speak against it; 0
-    for plain text of any of the usual scripts."""
+    for plain text of any of the usual scripts. All parts are at least 0, so a
+    sum beyond ``limit`` is returned as it stands."""
     if text.isascii():
         return 0.0
-    total = 0.0
-    for c in _NON_ASCII.findall(text):
-        total += _char(c)[0]
-    for m in _WORD.finditer(text):
-        w = m.group()
+    total = sum(map(_own, _NON_ASCII.findall(text)))
+    if total > limit:
+        return total
+    for w in _WORD.findall(text):
         if not w.isascii():
-            total += _word_cost(w)
-    total += 0.7 * len(_RAISED.findall(text)) + 0.3 * len(_HANGING.findall(text)) + 0.4 * len(_SUMS.findall(text))
-    total += 0.7 * len(_GLUED.findall(text)) + 0.5 * len(_PAIR.findall(text))
+            total += _cached_word_cost(w) if len(w) <= 24 else _word_cost(w)
+    if total > limit:
+        return total
+    if _SIGN.search(text):
+        total += 0.7 * len(_RAISED.findall(text)) + 0.3 * len(_HANGING.findall(text)) + 0.4 * len(_SUMS.findall(text))
+        total += 0.7 * len(_GLUED.findall(text)) + 0.5 * len(_PAIR.findall(text)) + 0.5 * len(_OUT_OF_PLACE.findall(text))
+        if total > limit:
+            return total
     for m in _STRAY_LETTER.finditer(text):
         c = m.group()
         if c > "\x7f" and _char(c)[1] in ("latin", "greek", "cyr"):
@@ -204,56 +229,95 @@ def _decode(data: bytes, codec: str) -> str | None:
         return None
 
 
-def neighbours(text: str, strong_only: bool = False) -> Iterator[tuple[str, bool]]:
+@lru_cache(maxsize=1)
+def _byte_costs() -> tuple[tuple[str, ...], np.ndarray]:
+    """(single-byte codecs, cost of each byte read by each of them)."""
+    codecs_ = tuple(c for c in RIGHT if c != "utf-8" and c not in _DOUBLE)
+    table = np.zeros((256, len(codecs_)))
+    for j, codec in enumerate(codecs_):
+        for b in range(128, 256):
+            c = _decode(bytes([b]), codec)
+            table[b, j] = 1e9 if c is None else 0.0 if c < "\x80" else _own(c)
+    return codecs_, table
+
+
+def neighbours(text: str, strong_only: bool = False, limit: float = float("inf")) -> Iterator[tuple[str, bool]]:
     """(state, strong) one operation away; strong if multi-byte structure, not
-    only a table of single bytes, confirms it."""
-    seen: set[bytes] = set()
+    only a table of single bytes, confirms it. Those come first. Of the others
+    those whose characters alone cost ``limit`` or more are left out; counts of
+    bytes against a table of costs tell them without decoding.
+    """
     if "&" in text and (plain := html.unescape(text)) != text:
         yield plain, False
+    encoded: dict[bytes, str] = {}
     for wrong in WRONG:
         data = _encode(text, wrong)
-        if data is None or data in seen:
-            continue
-        seen.add(data)
-        for right in RIGHT:
-            if right == wrong or (strong_only and right != "utf-8"):
-                continue
-            if wrong in _DOUBLE_WRONG and right != "utf-8" and right not in _DOUBLE:
-                continue  # two bytes to a character: such text is not cut into single ones again
-            if right in _DOUBLE and not _PAIRED.search(text):
-                continue  # two-byte characters leave long stretches outside ASCII
-            out = _decode(data, right)
-            if out is not None and out != text and len(out) <= 2 * len(text):
-                yield out, right == "utf-8"
-
-
-def search(text: str, strong_only: bool = False, states: int = 6) -> tuple[str, float, float]:
-    """(best text, its cost, the first cost): best-first over the operations."""
+        if data is not None and data not in encoded:
+            encoded[data] = wrong
+    for data in encoded:
+        out = _decode(data, "utf-8")
+        if out is not None and out != text:
+            yield out, True
+    if strong_only:
+        return
+    paired, three = bool(_PAIRED.search(text)), bool(_THREE.search(text))
+    singles, table = _byte_costs()
+    for data, wrong in encoded.items():
+        costs = np.bincount(np.frombuffer(data, np.uint8), minlength=256) @ table
+        for right, least in zip(singles, costs):
+            # Latin text has single letters outside ASCII, which two-byte codecs cannot read.
+            if least < limit and right != wrong and (wrong not in _DOUBLE_WRONG or three and right in _CYRILLIC):
+                out = _decode(data, right)
+                if out is not None and out != text:
+                    yield out, False
+        if paired:  # two-byte characters leave long stretches outside ASCII
+            for right in _DOUBLE:
+                out = _decode(data, right) if right in RIGHT and right != wrong else None
+                if out is not None and out != text:
+                    yield out, False
+
+
+#: What an operation adds to a text's cost that no multi-byte structure confirms; after the first one more.
+_STEP, _FURTHER = 0.1, 0.25
+
+
+def search(text: str, strong_only: bool = False) -> tuple[str, float, float]:
+    """(best text, its cost, the first cost): best-first over the operations.
+
+    Every operation on a way has to lower the cost, its own share counted, or
+    the way would only lead around. What the operations of a way cost is a lower
+    bound of all states behind it, so the search ends when no bound is below the
+    best cost found, or when a state is found that multi-byte structure confirms
+    and whose characters are plain. No other limit ends it.
+    """
     first = cost(text)
     best, best_cost = text, first
-    heap: list[tuple[float, int, str]] = [(first, 0, text)]
-    visited, expanded, n = {hash(text)}, 0, 0
-    while heap and expanded < states:
-        c, _, state = heapq.heappop(heap)
-        if expanded and c > 1.2 * first:
-            break
-        expanded += 1
-        for out, strong in neighbours(state, strong_only):
+    heap: list[tuple[float, int, str, float]] = [(first, 0, text, 0.0)]
+    visited, n = {hash(text)}, 0
+    while heap:
+        c, _, state, way = heapq.heappop(heap)
+        if way >= best_cost:
+            continue
+        weak = way + (_FURTHER if state is not text else _STEP)
+        for out, strong in neighbours(state, strong_only or weak >= best_cost, c - weak):
             if (h := hash(out)) in visited:
                 continue
             visited.add(h)
-            oc = cost(out) + (0.0 if strong else 0.1)
+            to = way if strong else weak
+            oc = cost(out, c - to) + to
+            if oc >= c - 1e-9:
+                continue
             n += 1
-            heapq.heappush(heap, (oc, n, out))
+            heapq.heappush(heap, (oc, n, out, to))
             if oc < best_cost:
                 best, best_cost = out, oc
-                if strong and oc <= 0.03 * len(_NON_ASCII.findall(out)) + 0.01:
+                if strong and oc - to <= 0.05 * len(_NON_ASCII.findall(out)) + 0.1:
                     return best, best_cost, first
     return best, best_cost, first
 
 
 def _better(first: float, then: float, out: str) -> bool:
-    return first - then >= 0.4 and then <= 0.4 * first + 0.02 * len(out) ** 0.5
+    return first - then >= 0.4 - 1e-9 and then <= 0.4 * first + 0.02 * len(out) ** 0.5
 
 
 def restore(text: str, least: float = 0.45) -> tuple[bool, str]:
@@ -271,7 +335,7 @@ def restore(text: str, least: float = 0.45) -> tuple[bool, str]:
         kept = s = m.group()
         if "&" in s:
             s = html.unescape(s)  # entities are right, what they stand for may not be
-        if s.isascii() or cost(s) < least:
+        if s.isascii() or cost(s) < least - 1e-9:
             out.append(kept)
             continue
         best, then, first = search(s)
@@ -285,7 +349,7 @@ def restore(text: str, least: float = 0.45) -> tuple[bool, str]:
         def one(r: re.Match, lost: bool = lost) -> str:
             nonlocal affected
             w = r.group()
-            if cost(w) < least:
+            if cost(w) < least - 1e-9:
                 return w
             b, t, f = search(w, lost)
             if _better(f, t, b):

@@ -33,6 +33,34 @@ def test_other_pairs_of_codecs():
         assert M.restore(garble(text, right, wrong)) == (True, text), text
 
 
+@pytest.mark.parametrize(
+    ("text", "restored"),
+    [("El ni–o mira al mar.", "El niño mira al mar."), ("a–o", "año"), ("La raz—n es clara.", "La razón es clara."), ("Un caf‚ noir.", "Un café noir."), ("Vienen por aqu¡.", "Vienen por aquí.")],
+)
+def test_a_mark_alone_that_stands_for_a_letter(text, restored):
+    assert M.restore(text) == (True, restored)
+
+
+def test_long_ways_are_found():
+    """Four wrong readings one after the other; no number of states ends the search."""
+    text = "La fenêtre du café à côté"
+    for _ in range(4):
+        text = garble(text, "utf-8", "latin-1")
+    assert M.restore(text) == (True, "La fenêtre du café à côté")
+
+
+def test_four_byte_characters():
+    assert M.restore(garble("À LA FENÊTRE DU CHÂTEAU", "gb18030", "latin-1")) == (True, "À LA FENÊTRE DU CHÂTEAU")
+
+
+def test_a_sum_beyond_the_limit_is_beyond_it():
+    for t in [*GOOD, "cafÃ© au lait", "ГЂ droite", "ÕýÊÇÔÚ"]:
+        whole = M.cost(t)
+        for limit in (0.0, 0.1, 0.5, 2.0):
+            part = M.cost(t, limit)
+            assert part == whole if whole <= limit else part > limit
+
+
 def test_twice_in_part_and_lost():
     twice = garble(garble("the word piñata", "utf-8", "latin-1"), "utf-8", "latin-1")
     assert M.restore(twice) == (True, "the word piñata")
