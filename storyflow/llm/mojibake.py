@@ -45,7 +45,7 @@ _STRAY_LETTER = re.compile(r"(?<![^\W\d_])(?=[\u0080-\u052f])[^\W\d_](?![^\W\d_]
 _SIGN = re.compile(r"[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0400-\u052f\u3000-\u30ff\u3400-\u9fff\uac00-\ud7a3\uff00-\uff60]")
 #: Marks right behind letters, or inside a word, that no writing puts there. The endings are those Spanish words have behind ñ and ó.
 _OUT_OF_PLACE = re.compile(
-    r"(?<=[^\W\d_])[\u201a](?![^\W\d_]*[\u2018\u2019])|(?<=[^\W\d_])[\u00a1\u00bf](?![A-Z\u00c0-\u00de])|(?<=[^\W\d_]{2})\u00b0(?!\d)"
+    r"(?<=[^\W\d_])\u201a(?![^\W\d_]*[\u2018\u2019])|\u201a(?![^\u201a\u2018]*[\u2018\u2019])|(?<=[^\W\d_])[\u00a1\u00bf](?![A-Z\u00c0-\u00de])|(?<=[^\W\d_]{2})\u00b0(?!\d)"
     r"|(?<=[aeiou])\u2013(?=(?:os?|as?|or|ora|ores|ola?|ana|al|ad[ao])\b)|(?<=[a-z])\u2014(?=n\b)"
 )
 _GLUED = re.compile(r"[^\W\d_][^\w\s\x00-\x7f¡¿‘’ʼ…–—·‐‑\u00ad\u0300-\u036f\u3000-\u303f\uff00-\uff60\u200b-\u200d\ufe0f\U0001f000-\U0001faff\u2600-\u27bf\u2022]+(?=[^\W\d_])")

@@ -35,7 +35,7 @@ def test_other_pairs_of_codecs():
 
 @pytest.mark.parametrize(
     ("text", "restored"),
-    [("El ni–o mira al mar.", "El niño mira al mar."), ("a–o", "año"), ("La raz—n es clara.", "La razón es clara."), ("Un caf‚ noir.", "Un café noir."), ("Vienen por aqu¡.", "Vienen por aquí.")],
+    [("El ni–o mira al mar.", "El niño mira al mar."), ("a–o", "año"), ("La raz—n es clara.", "La razón es clara."), ("Un caf‚ noir.", "Un café noir."), ("Vienen por aqu¡.", "Vienen por aquí."), ("Still one-handed. ‚ú®", "Still one-handed. ✨")],
 )
 def test_a_mark_alone_that_stands_for_a_letter(text, restored):
     assert M.restore(text) == (True, restored)
