@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..common import cut
-from .texts import WORD, main_language
+from .texts import SENTENCES, WORD, main_language
 
 #: Words in the shortest phrase that counts wherever it stands again; of Han
 #: characters, each a token of its own, one more.
@@ -24,32 +24,40 @@ def repeated_share(text: str | None, phrase: int = PHRASE) -> float:
     """The share of a text's letters in phrases that stood earlier in it.
 
     Phrases are runs of ``phrase`` words or more (one more for Han characters),
-    and words that follow themselves at once. Case, layout, punctuation and
-    numbers do not count. A null, empty or letterless text has share 0; a text
-    is always read whole.
+    whole sentences of two words or more however short, and words that follow
+    themselves at once. Case, layout, punctuation and numbers do not count. A
+    null, empty or letterless text has share 0; a text is always read whole.
     """
     if not text:
         return 0.0
-    words = [w for w in WORD.findall(text.casefold()) if not w.isdigit()]
+    folded = text.casefold()
+    words = [w for w in WORD.findall(folded) if not w.isdigit()]
     n = len(words)
     if n < 2:
         return 0.0
+    doubled = any(map(str.__eq__, words, words[1:]))
+    if not doubled and len(set(zip(words, words[1:]))) == n - 1:
+        return 0.0  # no two words stand together twice, and none follows itself
     m = phrase + 1 if sum(1 for w in words if len(w) == 1 and w > "㏿") * 2 > n else phrase
-    grams = list(zip(*(words[i:] for i in range(m)))) if n >= m else []
-    pairs = sum(map(str.__eq__, words, words[1:]))
-    if len(set(grams)) == len(grams) and not pairs:
-        return 0.0
     covered = bytearray(n)
     seen: set[tuple[str, ...]] = set()
-    for i, g in enumerate(grams):
+    for i, g in enumerate(zip(*(words[i:] for i in range(m)))):
         if g in seen:
             covered[i : i + m] = b"\x01" * m
         else:
             seen.add(g)
-    if pairs:
+    if doubled:
         for i in range(1, n):
             if words[i] == words[i - 1]:
                 covered[i] = 1
+    at, said = 0, set()
+    for sentence in SENTENCES.split(folded):
+        own = tuple(w for w in WORD.findall(sentence) if not w.isdigit()) if sentence else ()
+        if 2 <= len(own) < m:
+            if own in said:
+                covered[at : at + len(own)] = b"\x01" * len(own)
+            said.add(own)
+        at += len(own)
     total = sum(map(len, words))
     return sum(len(w) for w, c in zip(words, covered) if c) / total
 

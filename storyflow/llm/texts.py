@@ -25,17 +25,18 @@ NO_ANSWER = {
 
 
 _LONGEST = max(map(len, NO_ANSWER))
+#: More letters and digits than the longest sign for "no answer" has.
+_MORE = re.compile(rf"[\W_]*(?:[^\W_][\W_]*){{{_LONGEST + 1}}}")
 
 
 def no_answer(text: str | None) -> bool:
     """Null, or nothing but blanks, invisible characters, marks or a sign for
     "no answer", however far apart its letters stand."""
-    letters = ""
-    for c in text or "":
-        if c.isalnum():
-            letters += "".join(f for f in c.casefold() if f.isalnum())
-            if len(letters) > _LONGEST:
-                return False
+    if not text:
+        return True
+    if _MORE.match(text):
+        return False
+    letters = "".join(c for c in text.casefold() if c.isalnum())
     return letters in NO_ANSWER or not letters
 
 
@@ -134,15 +135,3 @@ def main_language(text: str) -> tuple[str, float]:
         return "", 0.0
     top = max(sorted(w), key=w.__getitem__)
     return top, w[top] / total
-
-
-def plainly(text: str, lang: str) -> bool:
-    """True if a text is beyond doubt mostly in ``lang``; a quick look that
-    spares most texts the count sentence by sentence."""
-    plain = NAME.sub(" ", text).lower()
-    w = _scripts(plain)
-    size, votes = _hits(plain)
-    if w:
-        return w.get(lang, 0.0) > 2 * (size + sum(w.values()) - w.get(lang, 0.0))
-    own = votes.pop(lang, 0.0)
-    return own >= 4 and own >= 1.5 * max(votes.values(), default=0.0)

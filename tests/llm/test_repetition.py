@@ -14,6 +14,10 @@ def test_shares():
     assert R.repeated_share("again again again again") == pytest.approx(0.75)
     assert R.repeated_share("no no") == pytest.approx(0.5)
     assert R.repeated_share("he said that he said it") == 0.0  # a short phrase is no repetition
+    assert R.repeated_share("He runs fast. He runs fast.") == pytest.approx(0.5)  # a whole sentence is
+    assert R.repeated_share("Er ruht.\nEr geht.\nER RUHT!") == pytest.approx(6 / 18)
+    assert R.repeated_share("Go. Stop. Go.") == 0.0  # of a single word only where it follows itself
+    assert R.repeated_share("他跑。她坐。他跑。") == pytest.approx(2 / 6)
     assert R.repeated_share("雨水划过窗户，雨水划过窗户。") == pytest.approx(0.5)
     assert R.repeated_share("[Ann Lee Roe] waits. [Ann Lee Roe] sits.") == 0.0
     for t in (None, "", " ", "1 1 1 1", "one", "​"):
