@@ -29,8 +29,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values = _captions(spark, sf_dir)
-    return endings.rates(values, endings.truncated(values))
+    return endings.rates(_captions(spark, sf_dir))
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:

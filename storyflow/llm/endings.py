@@ -214,9 +214,13 @@ def judge_open(marked: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame
     return told.where(~((F.col("k3") == 1) & (F.col("k0") + F.col("k1") + F.col("k2") > 0))).select("field", "run_id", "item_id", "source")
 
 
-def mark(values: DataFrame) -> DataFrame:
-    """Every value's end and every whole sentence's frames, from one pass over
-    (field, run_id, item_id, source, text)."""
+def mark(values: DataFrame, whole: bool = False) -> DataFrame:
+    """Every cut and open end and every whole sentence's frames, from one pass
+    over (field, run_id, item_id, source, text); with ``whole`` also a row for
+    each other value that is not blank."""
+
+    def kept(what: str, text: str) -> bool:
+        return what in ("cut", "open") or whole and (what == "whole" or any(c.isprintable() and not c.isspace() for c in text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         endings = Endings()
@@ -224,13 +228,21 @@ def mark(values: DataFrame) -> DataFrame:
             items = []
             for field, run_id, item, source, text in zip(*(c.to_pylist() for c in b.columns)):
                 what, keys = endings.read(text)
-                if what in ("cut", "open"):
+                if kept(what, text):
                     items.append((what, field, run_id, item, source, keys))
             yield rows(items, endings.drain())
 
     return values.where(F.col("text").isNotNull()).select("field", "run_id", "item_id", "source", "text").mapInArrow(run, ROW_DDL)
 
 
+_ITEM_KEY = ["field", "run_id", "item_id"]
+
+
+def _cut_ends(marked: DataFrame, least_share: float) -> DataFrame:
+    sure = marked.where("what = 'cut'").select(*_ITEM_KEY, "source").dropDuplicates(_ITEM_KEY)
+    return sure.unionByName(judge_open(marked, least_share)).dropDuplicates(_ITEM_KEY)
+
+
 def truncated(values: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
     """(field, run_id, item_id, source) of each value that breaks off.
 
@@ -238,20 +250,25 @@ def truncated(values: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
     once; a value whose last sentence is whole is none, whatever stands after
     it. An empty table gives no rows; extra columns are dropped.
     """
-    marked = cut(mark(values))
-    sure = marked.where("what = 'cut'").select("field", "run_id", "item_id", "source").dropDuplicates(["field", "run_id", "item_id"])
-    return sure.unionByName(judge_open(marked, least_share)).dropDuplicates(["field", "run_id", "item_id"])
-
-
-def rates(values: DataFrame, cut_values: DataFrame) -> DataFrame:
-    """(field, source, n_values, n_cut, share): how often each source cuts."""
-    total = (
-        values.where(F.col("text").isNotNull() & ~F.col("text").rlike(r"^[\s\p{Z}\p{C}]*$"))
-        .select("field", "source", "run_id", "item_id").distinct().groupBy("field", "source").agg(F.count(F.lit(1)).alias("n_values"))
-    )
-    bad = cut_values.groupBy(F.col("field").alias("f"), F.col("source").alias("s")).agg(F.count(F.lit(1)).alias("n_cut"))
-    out = total.join(bad, F.col("field").eqNullSafe(F.col("f")) & F.col("source").eqNullSafe(F.col("s")), "left")
-    out = out.select("field", "source", "n_values", F.coalesce("n_cut", F.lit(0)).alias("n_cut"))
+    return _cut_ends(cut(mark(values)), least_share)
+
+
+def rates(values: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
+    """(field, source, n_values, n_unended, n_cut, share): how often each source
+    cuts, beside how many of its values lack a final full stop at all, from one
+    pass over the texts.
+
+    Values that are null or blank are not counted; a value delivered again
+    counts once; a null source is a source of its own.
+    """
+    marked = cut(mark(values, whole=True))
+    each = marked.where("what <> 'frame'").groupBy(*_ITEM_KEY).agg(F.min("source").alias("source"), F.max(F.col("what").isin("cut", "open").cast("int")).alias("unended"))
+    bad = _cut_ends(marked, least_share).select(*(F.col(c).alias(f"_{c}") for c in _ITEM_KEY), F.lit(1).alias("hit"))
+    same = F.lit(True)
+    for c in _ITEM_KEY:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    n = lambda c: F.sum(F.coalesce(c, F.lit(0))).cast("bigint")
+    out = each.join(bad, same, "left").groupBy("field", "source").agg(F.count(F.lit(1)).alias("n_values"), n("unended").alias("n_unended"), n("hit").alias("n_cut"))
     return out.withColumn("share", F.col("n_cut") / F.col("n_values"))
 
 

@@ -13,7 +13,7 @@ from ..common import cut
 from .endings import ROW_DDL, Endings, judge_open, rows
 from .texts import SENTENCES, WORD, language, main_language, no_answer
 
-_QUOTED = re.compile(r"\"[^\"\n]{0,300}\"|“[^”\n]{0,300}”|„[^“”\n]{0,300}[“”]|«[^»\n]{0,300}»|「[^」\n]{0,300}」|『[^』\n]{0,300}』|‘[^’\n]{3,300}’(?!\w)")
+_QUOTED = re.compile(r"\"[^\"\n]*\"|“[^”\n]*”|„[^“”\n]*[“”]|«[^»\n]*»|「[^」\n]*」|『[^』\n]*』|‘[^’\n]{3,}’(?!\w)")
 
 # The grammar of a refusal. A speaker who declines, and what is declined.
 _DECLINE = {
@@ -116,36 +116,70 @@ def is_refusal(text: str) -> bool:
     told = [s for s in others if not _BESIDE.search(s)]
     if any(_NAMED.search(s) for s in told):
         return False
-    return sum(map(len, told)) <= max(260, sum(map(len, declined)) + sum(map(len, beside)))
+    return sum(map(len, told)) <= sum(map(len, declined)) + sum(map(len, beside))
+
+
+_PRIME, _BASE = (1 << 61) - 1, 1_000_003
+
+
+def _hashes(ids: list[int]) -> list[int]:
+    out = [0]
+    for x in ids:
+        out.append((out[-1] * _BASE + x) % _PRIME)
+    return out
+
+
+def _free(used: list[bool]) -> list[int]:
+    """How many unused tokens follow from each place on."""
+    out = [0] * (len(used) + 1)
+    for i in range(len(used) - 1, -1, -1):
+        out[i] = 0 if used[i] else out[i + 1] + 1
+    return out
 
 
 def tiles(a: list[str], b: list[str], least: int = 3) -> list[tuple[int, int, int]]:
     """Greedy string tiling: (place in a, place in b, length), longest first,
-    no token used twice."""
+    no token used twice.
+
+    The longest length that still matches is found by halving, with one hash
+    for each place, so long repetitive texts cost little more than others.
+    """
+    number: dict[str, int] = {}
+    ia, ib = [[number.setdefault(w, len(number) + 1) for w in ws] for ws in (a, b)]
+    ha, hb = _hashes(ia), _hashes(ib)
     used_a, used_b = [False] * len(a), [False] * len(b)
-    at: dict[tuple[str, ...], list[int]] = {}
-    for j in range(len(b) - least + 1):
-        at.setdefault(tuple(b[j : j + least]), []).append(j)
     out: list[tuple[int, int, int]] = []
+    longest = min(len(a), len(b))
     while True:
-        best, found = least, []
-        for i in range(len(a) - least + 1):
-            if used_a[i]:
-                continue
-            for j in at.get(tuple(a[i : i + least]), ()):
-                n = 0
-                while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and not used_a[i + n] and not used_b[j + n]:
-                    n += 1
-                if n > best:
-                    best, found = n, [(i, j)]
-                elif n == best:
-                    found.append((i, j))
-        if not found:
+        free_a, free_b = _free(used_a), _free(used_b)
+
+        def places(h: list[int], free: list[int], n: int) -> Iterator[tuple[int, int]]:
+            power = pow(_BASE, n, _PRIME)
+            return (((h[i + n] - h[i] * power) % _PRIME, i) for i in range(len(free) - n) if free[i] >= n)
+
+        def common(n: int) -> bool:
+            known = {x for x, _ in places(hb, free_b, n)}
+            return any(x in known for x, _ in places(ha, free_a, n))
+
+        low, high = least - 1, min(longest, max(free_a), max(free_b))
+        while low < high:
+            mid = (low + high + 1) // 2
+            low, high = (mid, high) if common(mid) else (low, mid - 1)
+        if low < least:
             return out
-        for i, j in found:
-            if not any(used_a[i : i + best]) and not any(used_b[j : j + best]):
-                used_a[i : i + best] = used_b[j : j + best] = [True] * best
-                out.append((i, j, best))
+        longest = low
+        at: dict[int, list[int]] = {}
+        for x, j in places(hb, free_b, low):
+            at.setdefault(x, []).append(j)
+        waiting = {x: iter(js) for x, js in at.items()}
+        for x, i in places(ha, free_a, low):
+            if x not in waiting or used_a[i]:
+                continue
+            for j in waiting[x]:
+                if not used_b[j] and not used_b[j + low - 1]:
+                    used_a[i : i + low] = used_b[j : j + low] = [True] * low
+                    out.append((i, j, low))
+                    break
 
 
 def _given(a: list[str], b: list[str], least: int = 3) -> list[bool]:

@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..common import cut
 
@@ -134,10 +135,10 @@ class OpenWindows:
 
 #: Rows that are sorted by size before they are placed.
 _STRETCH = 1000
-_PACKED = "{doc} bigint, piece int, n_tokens int, container_id string, open boolean"
+_PACKED = "doc_id {kind}, piece int, n_tokens int, container_id string, open boolean"
 
 
-def _pack_batches(batches: Iterator[pa.RecordBatch], sizes: Callable, capacity: int, k: int, tag: str) -> Iterator[pa.RecordBatch]:
+def _pack_batches(batches: Iterator[pa.RecordBatch], sizes: Callable, capacity: int, k: int, tag: str, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
     """Place units of (size, [(doc, piece, tokens)...]) stretch by stretch."""
     from pyspark import TaskContext
 
@@ -155,7 +156,7 @@ def _pack_batches(batches: Iterator[pa.RecordBatch], sizes: Callable, capacity:
                 for d, p, n in unit:
                     for c, v in zip(cols, (d, p, n, cid, still_open)):
                         c.append(v)
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.bool_())
+        kinds = (kind, pa.int32(), pa.int32(), pa.string(), pa.bool_())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["doc_id", "piece", "n_tokens", "container_id", "open"])
 
     for b in batches:
@@ -170,7 +171,7 @@ def _pack_batches(batches: Iterator[pa.RecordBatch], sizes: Callable, capacity:
 
 
 def pack(df: DataFrame, path: str, capacity: int = 2048, open_windows: int = 512, merge_fan: int = 64, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, piece, n_tokens, container_id): every text that is not null or
+    """(doc, piece, n_tokens, container_id): every text that is not null or
     empty in a container of ``capacity`` tokens.
 
     Sizes and placing come from one pass over the scan's own partitions, so
@@ -192,9 +193,10 @@ def pack(df: DataFrame, path: str, capacity: int = 2048, open_windows: int = 512
                 yield m, [(d, p, m)]
                 n, p = n - m, p + 1
 
-    source = df.where(F.col(text).isNotNull() & (F.col(text) != "")).select(F.col(doc).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    schema = _PACKED.format(doc="doc_id")
-    packed = cut(source.mapInArrow(lambda it: _pack_batches(it, measured, capacity, open_windows, "a"), schema))
+    source = df.where(F.col(text).isNotNull() & (F.col(text) != "")).select(F.col(doc).alias("doc_id"), F.col(text).alias("text"))
+    of = source.schema["doc_id"].dataType
+    schema, kind = _PACKED.format(kind=of.simpleString()), to_arrow_type(of)
+    packed = cut(source.mapInArrow(lambda it: _pack_batches(it, measured, capacity, open_windows, "m0", kind), schema))
     final, left = packed.where(~F.col("open")), packed.where("open")
 
     def whole(b: pa.RecordBatch):
@@ -211,8 +213,7 @@ def pack(df: DataFrame, path: str, capacity: int = 2048, open_windows: int = 512
             .sortWithinPartitions(F.desc("n"), "container_id")
             .select("n", "units")
         )
-        tag = "bcdefgh"[level - 1]
-        merged = cut(units.mapInArrow(lambda it, t=tag: _pack_batches(it, whole, capacity, open_windows, t), schema))
+        merged = cut(units.mapInArrow(lambda it, t=f"m{level}": _pack_batches(it, whole, capacity, open_windows, t, kind), schema))
         final, left = final.unionByName(merged.where(~F.col("open"))), merged.where("open")
     out = final.unionByName(left)
     return out.select(F.col("doc_id").alias(doc), "piece", "n_tokens", "container_id")

@@ -58,7 +58,8 @@ def test_baseline_of_endings(spark):
 
 
 def test_rates_count_each_value_once(spark):
-    rows = [("f", "r", "1", "s", WHOLE[0]), ("f", "r", "1", "s", WHOLE[0]), ("f", "r", "2", "s", "Rain fal"), ("f", "r", "3", None, WHOLE[1]), ("f", "r", "4", "s", " ")]
-    df = spark.createDataFrame(rows, "field string, run_id string, item_id string, source string, text string")
-    got = sorted((r.source or "", r.n_values, r.n_cut, r.share) for r in E.rates(df, E.truncated(df)).collect())
-    assert got == [("", 1, 0, 0.0), ("s", 2, 1, 0.5)]
+    rows = [("f", "r", "1", "s", WHOLE[0]), ("f", "r", "1", "s", WHOLE[0]), ("f", "r", "2", "s", "Rain fal"), ("f", "r", "2", "s", "Rain fal"), ("f", "r", "3", None, WHOLE[1]), ("f", "r", "4", "s", " "), ("f", "r", "5", "s", "N/A")]
+    df = spark.createDataFrame(rows, "field string, run_id string, item_id string, source string, text string").withColumns({"what": F.lit("x"), "hit": F.lit(1)})
+    got = sorted((r.source or "", r.n_values, r.n_unended, r.n_cut, r.share) for r in E.rates(df).collect())
+    assert got == [("", 1, 0, 0, 0.0), ("s", 3, 1, 1, 1 / 3)]
+    assert E.rates(df.limit(0)).count() == 0

@@ -98,3 +98,18 @@ def test_defects_of_a_table(spark):
     got = {(r.event_id): r.defect for r in pairs.defects(df).collect()}
     assert got == {"e1": "empty", "e2": "empty", "c1": "copy", "w1": "wrong_language", "f1": "refusal", "t1": "truncated", "t2": "truncated", "t3": "truncated"}
     assert pairs.defects(df).count() == len(got) and pairs.defects(df.limit(0)).count() == 0
+
+
+def test_tiles_of_long_repetitive_texts():
+    a = ["la"] * 20_000
+    assert pairs.tiles(a, a[:-3]) == [(0, 0, 19_997)]
+    b = [str(i % 50) for i in range(8_000)]
+    got = pairs.tiles(b, b[4_000:] + b[:4_000])
+    assert sum(n for _, _, n in got) == 8_000 and [n for *_, n in got] == sorted((n for *_, n in got), reverse=True)
+
+
+def test_long_quotes_and_short_refusals_beside_longer_tales():
+    said = "I can't describe this clip. " * 40
+    assert not pairs.is_refusal(f'"{said}" says [Ann], who waits at the door and looks at the old clock tower for a long while.' + " She waits on and on." * 60)
+    assert not pairs.is_refusal("I can't describe this clip. The dog runs along the path, then the cat jumps over the wall and the rain falls.")
+    assert pairs.is_refusal("I can't help with this request. " + "It might violate our policy. " * 8)

@@ -83,3 +83,10 @@ def test_packing_edges(spark):
     rows = packed(spark, df)
     assert sorted((r[0] or 0, r[1], r[2]) for r in rows) == [(0, 0, 1), (3, 0, 1), (3, 0, 1)] and len({r[3] for r in rows}) <= 2
     assert packed(spark, df.limit(0)) == []
+
+
+def test_ids_of_any_type_and_many_levels(spark):
+    rows = [(f"doc-{i}", "some words " * (i % 7 + 1)) for i in range(200)] + [(None, "one"), ("", "two")]
+    df = spark.createDataFrame(rows, "name string, text string").repartition(16)
+    got = T.pack(df, T.vocabulary_path(spark), capacity=16, open_windows=2, merge_fan=2, doc="name")
+    assert dict(got.dtypes)["name"] == "string" and sorted({r.name or "-" for r in got.collect()}) == sorted({n or "-" for n, _ in rows})
