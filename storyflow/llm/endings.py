@@ -101,6 +101,9 @@ def _bare(text: str) -> str:
     """A text without what may stand after its end: blanks, closing quotes,
     signs, remarks that it ends, dots of omission. Only its last stretch is
     looked at, and again while all of that falls away."""
+    plain = text.rstrip()
+    if plain[-1:] in _TERMINAL and plain[-2:] not in ("..", "。。"):
+        return plain
     while text:
         stretch = text[-96:]
         kept = _AFTER.sub("", stretch)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..common import cut
 from .endings import ROW_DDL, Endings, judge_open, rows
-from .texts import SENTENCES, WORD, language, main_language, no_answer
+from .texts import SENTENCES, WORD, language, main_language, no_answer, surely
 
 _QUOTED = re.compile(r"\"[^\"\n]*\"|“[^”\n]*”|„[^“”\n]*[“”]|«[^»\n]*»|「[^」\n]*」|『[^』\n]*』|‘[^’\n]{3,}’(?!\w)")
 
@@ -56,12 +56,10 @@ _HINTS = {
 }
 _SIGNS = {"ru": re.compile("[А-я]"), "zh": re.compile("[我恕]|本人|本助手|只能"), "ja": re.compile("[ぁ-ん]"), "ko": re.compile("[가-힣]")}
 _GRAMMAR = {lang: re.compile(p, re.I) for lang, p in _DECLINE.items()}
-_LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def _declines(text: str) -> bool:
+def _declines(text: str, words: set[str]) -> bool:
     """Whether any grammar matches; only those whose words occur are tried."""
-    words = set(_LETTERS.findall(text.lower()))
     if any(not hints.isdisjoint(words) and _GRAMMAR[lang].search(text) for lang, hints in _HINTS.items()):
         return True
     return not text.isascii() and any(sign.search(text) and _GRAMMAR[lang].search(text) for lang, sign in _SIGNS.items())
@@ -94,7 +92,7 @@ def _speaks(sentence: str) -> bool:
     return not n or bool(before[: n.start()].strip(" \"'“”„«»*-")) and not _SAYS.search(before)
 
 
-def is_refusal(text: str) -> bool:
+def is_refusal(text: str, words: set[str] | None = None) -> bool:
     """True if the speaker of the whole text declines the task.
 
     Quoted speech and what signs say is not the speaker's. The declining
@@ -102,7 +100,7 @@ def is_refusal(text: str) -> bool:
     go on to name the persons of the scene, or describe more than they excuse,
     explain or offer, does not refuse.
     """
-    if not _declines(text):
+    if not _declines(text, set(WORD.findall(text.casefold())) if words is None else words):
         return False
     plain = _QUOTED.sub(" ", text)
     if len(plain) < 0.5 * len(text):
@@ -194,10 +192,13 @@ def _given(a: list[str], b: list[str], least: int = 3) -> list[bool]:
 
 
 def is_copy(prompt: str, response: str) -> bool:
+    return _gives_back(WORD.findall(prompt.casefold()), WORD.findall(response.casefold()))
+
+
+def _gives_back(a: list[str], b: list[str]) -> bool:
     """True if the response gives the prompt back, once or again and again, and
     adds no substance: its tiles cover the prompt, and beside what is given back
     stand only a label or a closing word of a few tokens."""
-    a, b = WORD.findall(prompt.casefold()), WORD.findall(response.casefold())
     if len(a) < 3 or len(b) < 3:
         return bool(a) and len(b) >= len(a) and b == a * (len(b) // len(a))
     size = lambda ws: sum(map(len, ws))
@@ -223,7 +224,9 @@ def other_language(prompt: str, response: str) -> bool:
     of_prompt, sure = main_language(prompt)
     if not of_prompt or of_prompt == "latin" or sure < 0.4:
         return False
-    w = language(response)
+    if surely(response, of_prompt):
+        return False
+    w = language(response, of_prompt)
     total = sum(w.values())
     if total < 12:
         return False
@@ -241,10 +244,11 @@ def certain_defect(prompt: str | None, response: str | None) -> str | None:
     the endings of the corpus."""
     if no_answer(response):
         return "empty"
-    if is_refusal(response):
+    tokens = WORD.findall(response.casefold())
+    if is_refusal(response, set(tokens)):
         return "refusal"
     if prompt and not no_answer(prompt):
-        if is_copy(prompt, response):
+        if _gives_back(WORD.findall(prompt.casefold()), tokens):
             return "copy"
         if other_language(prompt, response):
             return "wrong_language"

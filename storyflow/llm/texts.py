@@ -60,6 +60,7 @@ _HAN = re.compile(r"[㐀-鿿]+")
 _KANA = re.compile(r"[぀-ヿ]+")
 _CYR = re.compile(r"[Ѐ-ӿ]+")
 _HANGUL = re.compile(r"[가-힣]+")
+_OTHER_SCRIPT = re.compile(r"[Ѐ-ӿ㐀-鿿぀-ヿ가-힣]")
 _LATIN = re.compile(r"[A-Za-zÀ-ɏ]+")
 _UMLAUT = re.compile(r"[äöüß]")
 _TILDE = re.compile(r"[ñ¿¡]")
@@ -81,10 +82,14 @@ def _hits(text: str) -> tuple[int, dict[str, float]]:
     return sum(map(len, words)), votes
 
 
-def _votes(sentence: str) -> tuple[int, str]:
-    """(Latin letters, the language most of their function words vote for or '')."""
+def _votes(sentence: str, prefer: str = "") -> tuple[int, str]:
+    """(Latin letters, the language most of their function words vote for or '');
+    of languages with equally many ``prefer``, then the first by name."""
     size, votes = _hits(sentence)
-    return size, max(sorted(votes), key=votes.__getitem__) if votes else ""
+    if not votes:
+        return size, ""
+    most = max(votes.values())
+    return size, prefer if votes.get(prefer) == most else min(lang for lang, n in votes.items() if n == most)
 
 
 def _size(pattern: re.Pattern, text: str) -> int:
@@ -93,25 +98,25 @@ def _size(pattern: re.Pattern, text: str) -> int:
 
 def _scripts(plain: str) -> dict[str, float]:
     """Letters of the scripts that tell their language."""
-    if plain.isascii():
+    if plain.isascii() or not _OTHER_SCRIPT.search(plain):
         return {}
     kana, han = _size(_KANA, plain), _size(_HAN, plain)
     sizes = {"ja" if kana > 0.2 * han else "zh": 3.0 * (han + kana), "ru": float(_size(_CYR, plain)), "ko": 2.0 * _size(_HANGUL, plain)}
     return {lang: n for lang, n in sizes.items() if n}
 
 
-def language(text: str) -> dict[str, float]:
+def language(text: str, prefer: str = "") -> dict[str, float]:
     """Letters by language, names in brackets aside. A Han character weighs as
     three letters of an alphabet. Each sentence's Latin letters go whole to the
-    language its function words vote for; a sentence without any to the language
-    most of the others have, or to ``latin``."""
+    language its function words vote for, on a tie to ``prefer``; a sentence
+    without any to the language most of the others have, or to ``latin``."""
     plain = NAME.sub(" ", text).lower()
     out = _scripts(plain)
     latin: dict[str, float] = {}
     mute = 0
     for sentence in SENTENCES.split(plain):
         if sentence:
-            size, lang = _votes(sentence)
+            size, lang = _votes(sentence, prefer)
             if lang:
                 latin[lang] = latin.get(lang, 0.0) + size
             else:
@@ -135,3 +140,25 @@ def main_language(text: str) -> tuple[str, float]:
         return "", 0.0
     top = max(sorted(w), key=w.__getitem__)
     return top, w[top] / total
+
+
+def surely(text: str, lang: str) -> bool:
+    """True only if ``language(text, lang)`` must give ``lang`` at least half of
+    the letters, so that nothing need be counted sentence by sentence.
+
+    For the language of a script: its letters are at least as many as all others
+    together. For one in Latin letters: no other script occurs, and every
+    function word of any language is one of its own, so that it has the most
+    votes or a tie in every sentence.
+    """
+    plain = NAME.sub(" ", text).lower()
+    if lang not in FUNCTION_WORDS:
+        w = _scripts(plain)
+        own = w.get(lang, 0.0)
+        return own > 0 and own >= sum(w.values()) - own + _size(_LATIN, plain)
+    known = _KNOWN.intersection(_LATIN.findall(plain))
+    if not known or not all(lang in _LANGUAGES[w] for w in known):
+        return False
+    if plain.isascii():
+        return True
+    return not (_OTHER_SCRIPT.search(plain) or lang != "de" and _UMLAUT.search(plain) or lang != "es" and _TILDE.search(plain))

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from storyflow.llm import pairs
+from storyflow.llm import pairs, texts
 from storyflow.llm.texts import main_language, no_answer
 
 EN = "[Ann] opens the door in the kitchen, while rain streaks the window. Behind the two of them, fog hides the far side."
@@ -113,3 +113,11 @@ def test_long_quotes_and_short_refusals_beside_longer_tales():
     assert not pairs.is_refusal(f'"{said}" says [Ann], who waits at the door and looks at the old clock tower for a long while.' + " She waits on and on." * 60)
     assert not pairs.is_refusal("I can't describe this clip. The dog runs along the path, then the cat jumps over the wall and the rain falls.")
     assert pairs.is_refusal("I can't help with this request. " + "It might violate our policy. " * 8)
+
+
+def test_a_sure_language_has_half_of_the_letters():
+    for text, lang in (("The dog runs to the door and waits.", "en"), ("片刻之后 the camera 镜头向左摇", "zh"), ("El perro corre y la niña mira", "es"), ("[Ann] waits", "en"), ("der Hund und the dog", "de"), ("", "en")):
+        if texts.surely(text, lang):
+            w = texts.language(text, lang)
+            assert w[lang] >= 0.5 * sum(w.values())
+    assert texts.surely("The dog runs to the door and waits.", "en") and not texts.surely("The dog und der Hund", "en") and not texts.surely("", "zh")
