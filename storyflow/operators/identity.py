@@ -37,7 +37,7 @@ def dedup_mappings(mappings: DataFrame, candidates: DataFrame, keys: list[str],
     return known.withColumn("_n", n).where("_n = 1").drop("_n")
 
 
-def fold_clusters(decisions: DataFrame, key: str = "run_id", order: str = "p", split_below: float = SPLIT_BELOW, flag_below: float = FLAG_BELOW) -> DataFrame:
+def fold_clusters(decisions: DataFrame, key: str = "run_id", order: str = "p", split_below: float = SPLIT_BELOW, flag_below: float = FLAG_BELOW, made_before: str | None = None) -> DataFrame:
     """(key, order, cluster_id, is_new, low_conf): the rolling decision fold.
 
     A decision ``match_result`` is NEW or names a cluster; one that names none
@@ -45,7 +45,8 @@ def fold_clusters(decisions: DataFrame, key: str = "run_id", order: str = "p", s
     (null counts as 100), makes a new one; from there to below ``flag_below`` it
     merges and is flagged. Each key's
     rows pass through in order with one counter as state: a key is one task's
-    work by its nature, but it is streamed, never collected.
+    work by its nature, but it is streamed, never collected. The column
+    ``made_before`` says how many clusters a key had before its first row.
     """
     kinds = dict(decisions.dtypes)
 
@@ -54,9 +55,9 @@ def fold_clusters(decisions: DataFrame, key: str = "run_id", order: str = "p", s
         pattern = re.compile(r"cluster_([0-9]{4,})\Z")
         for b in batches:
             cid, new, low = [], [], []
-            for k, match, conf in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
+            for k, match, conf, before in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist()):
                 if k != now:
-                    now, made = k, 0
+                    now, made = k, before or 0
                 conf = 100 if conf is None else conf
                 m = pattern.match((match or "").strip())
                 number = int(m[1]) if m else 0
@@ -69,7 +70,8 @@ def fold_clusters(decisions: DataFrame, key: str = "run_id", order: str = "p", s
                 low.append(fits and conf < flag_below)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cid, pa.string()), pa.array(new, pa.bool_()), pa.array(low, pa.bool_())], names=[key, order, "cluster_id", "is_new", "low_conf"])
 
-    ordered = decisions.select(key, order, "match_result", "confidence_score").repartition(key).sortWithinPartitions(key, order)
+    before = (F.col(made_before) if made_before else F.lit(0)).cast("bigint").alias("made_before")
+    ordered = decisions.select(key, order, "match_result", "confidence_score", before).repartition(key).sortWithinPartitions(key, order)
     return ordered.mapInArrow(run, f"{key} {kinds[key]}, {order} {kinds[order]}, cluster_id string, is_new boolean, low_conf boolean")
 
 

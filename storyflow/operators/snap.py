@@ -95,31 +95,28 @@ def tail(events: DataFrame, keys: list[str], order: str, k: int) -> DataFrame:
     return events.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(F.desc(order)))).where(F.col("_n") <= k).drop("_n")
 
 
+#: What a revision may replace of an event; its start stays.
+REVISED = ("end_time", "step1_objective_visual", "step2_contextual_reasoning", "step3_synthesized_dense_caption", "key_frame_times")
+
+
 def apply_revisions(events: DataFrame, revisions: DataFrame, run: str = "run_id") -> DataFrame:
     """Events after the revisions that later chunks bring for the last event of
     the chunk before.
 
-    ``revisions`` holds (run, chunk_i, need_merge, start_time, end_time,
-    step3_synthesized_dense_caption), one row for each chunk at most. One counts
-    if it asks to merge and its start agrees within a hundredth; it replaces
-    only the fields it provides.
+    ``revisions`` holds (run, chunk_i, need_merge, start_time) and any of
+    ``REVISED``, one row for each chunk at most. One counts if it asks to merge
+    and its start agrees within a hundredth; it replaces only the fields it
+    provides, of those the events have. Other columns are left out.
     """
     last = events.groupBy(run, "chunk_i").agg(F.max("ev_i").alias("ev_i"))
     before = last.withColumn("_chunk", F.lead("chunk_i").over(W.partitionBy(run).orderBy("chunk_i")))
-    r = revisions.select(
-        F.col(run), F.col("chunk_i").alias("_chunk"), "need_merge", F.col("start_time").alias("_rs"), F.col("end_time").alias("_re"),
-        F.col("step3_synthesized_dense_caption").alias("_rc"),
-    )
+    fields = [c for c in REVISED if c in events.columns and c in revisions.columns]
+    r = revisions.select(F.col(run), F.col("chunk_i").alias("_chunk"), "need_merge", F.col("start_time").alias("_rs"), *[F.col(c).alias(f"_new_{c}") for c in fields])
     target = before.join(r.where("need_merge"), [run, "_chunk"]).drop("_chunk", "need_merge")
     joined = events.join(target, [run, "chunk_i", "ev_i"], "left")
     hit = F.col("_rs").isNotNull() & (F.abs(parse_seconds(F.col("start_time")) - parse_seconds(F.col("_rs"))) <= 0.01)
-    return joined.withColumns(
-        {
-            "revised": F.coalesce(hit, F.lit(False)),
-            "end_time": F.when(hit, F.coalesce("_re", "end_time")).otherwise(F.col("end_time")),
-            "step3_synthesized_dense_caption": F.when(hit, F.coalesce("_rc", "step3_synthesized_dense_caption")).otherwise(F.col("step3_synthesized_dense_caption")),
-        }
-    ).drop("_rs", "_re", "_rc")
+    changed = {c: F.when(hit, F.coalesce(f"_new_{c}", c)).otherwise(F.col(c)) for c in fields}
+    return joined.withColumns({"revised": F.coalesce(hit, F.lit(False))} | changed).drop("_rs", *[f"_new_{c}" for c in fields])
 
 
 def timeline_gaps(events: DataFrame, key: str, order: list[str]) -> DataFrame:

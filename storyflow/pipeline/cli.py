@@ -38,7 +38,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.workers:
         b = b.master(f"local[{args.workers}]")
     out = run_batch(b.getOrCreate(), settings(args), args.input, args.output)
-    print(json.dumps(out))
+    print(json.dumps(out), f"numbers of the batch: {out['root']}/summary.json", sep="\n")
     return 0
 
 

@@ -49,6 +49,8 @@ class Config:
     refine_temperature: float = 0.2
     refine_max_tokens: int = 8192
     refine_start_offset: float = 0.5
+    refine_frame_max_width: int = 960
+    refine_jpg_quality: int = 90
     polish_temperature: float = 0.4
     polish_max_tokens: int = 16384
     strict_failure: bool = True

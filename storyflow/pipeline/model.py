@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 PARTS = "array<struct<kind:string,text:string,media:binary,detail:string>>"
 REQUEST = f"request_id string, stage string, system string, parts {PARTS}, max_tokens int, temperature double, want string"
 USAGE = "array<struct<prompt_tokens:bigint,completion_tokens:bigint,total_tokens:bigint>>"
-RESPONSE = f"request_id string, status string, answer string, error string, usage {USAGE}"
+RESPONSE = f"request_id string, status string, answer string, error string, usage {USAGE}, seconds double"
 
 
 def text_part(c: Column) -> Column:
@@ -59,28 +59,29 @@ def strip_fence(text: str) -> str:
 
 
 def attempt(ask: Callable[[dict], tuple[str, dict | None]], request: dict, retries: int, pause: Callable[[float], None] = time.sleep) -> tuple[str, str | None, str | None, list[dict]]:
-    """(status, answer, error, usage of every attempt that reported any). A
-    broken JSON answer is asked for again after 2, 4, ... seconds, any other
+    """(status, answer, error, usage of every attempt that reported any). The
+    answer of a failed request is the last one that could not be read. A broken
+    JSON answer is asked for again after 2, 4, ... seconds, any other
     failure after 3, 6, ...; usage counts before the answer is read."""
     used: list[dict] = []
-    error = None
+    error = raw = None
     for n in range(1, retries + 1):
         step = 3
         try:
-            answer, usage = ask(request)
+            raw, usage = ask(request)
             if usage:
                 used.append({k: int(usage.get(k) or 0) for k in ("prompt_tokens", "completion_tokens", "total_tokens")})
             if request["want"] != "json":
-                return "ok", (answer or "").strip(), None, used
+                return "ok", (raw or "").strip(), None, used
             step = 2
-            cleaned = strip_fence(answer or "")
+            cleaned = strip_fence(raw or "")
             json.loads(cleaned)
             return "ok", cleaned, None, used
         except Exception as e:  # noqa: BLE001 - any failure of a call is tried again
             error = f"{type(e).__name__}: {e}"
             if n < retries:
                 pause(step * n)
-    return "failed", None, error, used
+    return "failed", raw, error, used
 
 
 class CallableBackend:
@@ -94,10 +95,14 @@ class CallableBackend:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                got = [attempt(ask, r, retries, pause) for r in b.to_pylist()]
+                got, took = [], []
+                for r in b.to_pylist():
+                    began = time.monotonic()
+                    got.append(attempt(ask, r, retries, pause))
+                    took.append(time.monotonic() - began)
                 usage = pa.array([g[3] for g in got], pa.list_(pa.struct([(k, pa.int64()) for k in ("prompt_tokens", "completion_tokens", "total_tokens")])))
                 texts = [pa.array([g[i] for g in got], pa.string()) for i in range(3)]
-                yield pa.RecordBatch.from_arrays([b.column(0), *texts, usage], names=["request_id", "status", "answer", "error", "usage"])
+                yield pa.RecordBatch.from_arrays([b.column(0), *texts, usage, pa.array(took, pa.float64())], names=["request_id", "status", "answer", "error", "usage", "seconds"])
 
         names = [f.split()[0] for f in REQUEST.split(", ")]
         return rows.select(*names).dropDuplicates(["request_id"]).mapInArrow(run, RESPONSE)
@@ -142,7 +147,7 @@ class ReplayBackend:
         missing = F.col("answer").isNull()
         return out.select(
             "request_id", F.when(missing, "missing").otherwise("ok").alias("status"), "answer", F.when(missing, "no recorded answer").alias("error"),
-            F.coalesce("usage", F.array().cast(USAGE)).alias("usage"),
+            F.coalesce("usage", F.array().cast(USAGE)).alias("usage"), F.lit(0.0).alias("seconds"),
         )
 
 

@@ -47,10 +47,7 @@ def perceive(ws: Workspace, videos: DataFrame, scenes: DataFrame | None, decoder
     strict, else the stretch is passed over.
     """
     spark = ws.spark
-    want, mark = ws.hashes["perception"], f"{ws.root}/relay/_inputs"
-    if ws.read_text(mark) != want:
-        ws.remove(f"{ws.root}/relay")
-        ws.write_text(mark, want)
+    ws.begin("relay", "perception")
     wave = 0
     while ws.exists(f"{ws.root}/relay/state/wave={wave}/_SUCCESS"):
         wave += 1
@@ -126,7 +123,7 @@ def collected(ws: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
     r = got.where("d.prev_event_revision is not null").select(
         "video_id", "chunk_i", F.coalesce("d.prev_event_revision.need_merge", F.lit(False)).alias("need_merge"), "d.prev_event_revision.start_time",
         F.when(F.coalesce("d.prev_event_revision.end_time", F.lit("")) != "", snap.nearest(snap.timed(F.col("allowed")), parse_seconds(F.col("d.prev_event_revision.end_time")))["txt"]).alias("end_time"),
-        "d.prev_event_revision.step3_synthesized_dense_caption",
+        *[f"d.prev_event_revision.{c}" for c in snap.REVISED if c != "end_time"],
     )
     events = snap.apply_revisions(ws.spark.read.parquet(f"{base}/events").drop("wave"), r, "video_id")
     people = F.when(F.size("d.characters_in_chunk") > 0, F.col("d.characters_in_chunk")).otherwise(F.col("d.new_characters_in_chunk"))

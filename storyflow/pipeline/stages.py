@@ -20,6 +20,9 @@ _REVIEWS = "reviews array<struct<cluster_id:string,final_global_name:string,refi
 _CHAPTERS = "video_summary string, chapters array<struct<chapter_id:string,title:string,chapter_summary:string,start_time:string,end_time:string>>"
 _POLISHED = "chapters array<struct<chapter_id:string,events:array<struct<event_id:string,caption:string>>>>"
 SIGHTING = "video_id string, p int, chunk_i int, temp_name string, descr string, anchor_ts string, cluster_id string"
+ENDED = "video_id string, stage string, error string"
+#: Stages without a way around a failed call; other failures end a video only if failures are strict.
+_NO_WAY_ROUND = ("chapters", "polish")
 
 
 def _ask(ws: Workspace, name: str, rq: DataFrame, backend) -> DataFrame:
@@ -29,28 +32,40 @@ def _ask(ws: Workspace, name: str, rq: DataFrame, backend) -> DataFrame:
     return ws.put(name, rq.select(*keep).join(backend.call(rq), "request_id"))
 
 
+def ended_by(answers: DataFrame, cfg: Config) -> DataFrame:
+    """(video_id, stage, error) of each video that a failed call among the
+    answers ends, once."""
+    bad = answers.where("status <> 'ok'") if cfg.strict_failure else answers.where(F.col("stage").isin(*_NO_WAY_ROUND) & (F.col("status") != "ok"))
+    return bad.groupBy("video_id").agg(F.min("stage").alias("stage"), F.min(F.coalesce("error", "status")).alias("error"))
+
+
 def align(ws: Workspace, chunks: DataFrame, candidates: DataFrame, videos: DataFrame, decoder: media.Decoder, backend, cfg: Config) -> tuple[DataFrame, DataFrame]:
     """(sightings, flags): one round for each chunk number, all videos at once.
 
-    A round's requests name the persons known from the rounds before; decisions
-    are folded again over all rounds so far, which is one pass over short rows.
-    Chunks without candidates are never asked about.
+    A round's requests name the persons known from the rounds before. What one
+    round hands to the next is the bank, the first sighting of every name of
+    every person, so a round's work follows its own rows and the persons, not the
+    rounds before. Chunks without candidates are never asked about; a video a
+    failed call has ended is left out of later rounds. A batch that was broken
+    off goes on after the last whole round of the same inputs.
     """
     spark = ws.spark
+    ws.begin("align", "people")
     one = ws.put("align/candidates", I.first_by_name(candidates, ["video_id", "chunk_i"], ["cand_i"], "temp_name"))
     rounds = [r[0] for r in one.select("chunk_i").distinct().orderBy("chunk_i").collect()]  # chunk numbers, not rows
-    sightings = spark.createDataFrame([], SIGHTING)
-    flags = spark.createDataFrame([], "video_id string, chunk_i int, temp_name string, cluster_id string, confidence_score double")
-    decisions: DataFrame | None = None
+    bank, ended = spark.createDataFrame([], SIGHTING), spark.createDataFrame([], ENDED)
     for i in rounds:
-        now = one.where(F.col("chunk_i") == i)
+        if ws.exists(f"{ws.root}/align/bank/round={i}/_SUCCESS"):  # the last table of a round
+            bank, ended = ws.table(f"align/bank/round={i}"), ws.table(f"align/ended/round={i}")
+            continue
+        now = one.where(F.col("chunk_i") == i).join(ended, "video_id", "left_anti")
         cast = Y.joined(now, ["video_id"], ["cand_i"], F.concat(F.lit("- "), "temp_name", F.lit(": "), Y.flat(F.col("descr"))), name="cast")
-        bank = I.clusters(sightings, "video_id").select("video_id", "cluster_id", F.array_join(F.transform("names", lambda n: n["name"]), ", ").alias("names"))
-        known = Y.joined(bank, ["video_id"], ["cluster_id"], F.concat("cluster_id", F.lit(": "), "names"), name="known")
+        names = I.clusters(bank, "video_id").select("video_id", "cluster_id", F.array_join(F.transform("names", lambda n: n["name"]), ", ").alias("names"))
+        known = Y.joined(names, ["video_id"], ["cluster_id"], F.concat("cluster_id", F.lit(": "), "names"), name="known")
         row = cast.join(known, "video_id", "left").join(chunks.where(F.col("chunk_i") == i).select("video_id", "chunk_summary"), "video_id", "left")
         words = prompts.filled(("This stretch", F.col("chunk_summary")), ("Known persons", F.col("known")), ("Persons here", F.col("cast")))
         # One picture for each known person, of its first sighting, then one for each person here.
-        old = sightings.groupBy("video_id", "cluster_id").agg(F.min_by("anchor_ts", "p").alias("anchor_ts"))
+        old = bank.groupBy("video_id", "cluster_id").agg(F.min_by("anchor_ts", "p").alias("anchor_ts"))
         who = old.select("video_id", F.col("cluster_id").alias("name"), "anchor_ts", F.lit(0).alias("kind")).unionByName(now.select("video_id", F.col("temp_name").alias("name"), "anchor_ts", F.lit(1).alias("kind")))
         who = who.join(now.select("video_id").distinct(), "video_id", "left_semi").withColumns({"item": F.concat_ws("|", "video_id", "kind", "name"), "ord": F.lit(0)}).where("coalesce(anchor_ts, '') <> ''")
         shots = media.anchored(who, videos, decoder, cfg.frame_max_width, cfg.frame_jpg_quality)
@@ -58,23 +73,27 @@ def align(ws: Workspace, chunks: DataFrame, candidates: DataFrame, videos: DataF
         row = row.join(pics, "video_id", "left").withColumn("chunk_i", F.lit(i))
         shown = F.flatten(F.transform(F.coalesce("pics", F.array()), lambda x: F.array(model.text_part(x["name"]), model.image_part(x["jpeg"]))))
         rq = model.requests(row, "alignment", F.lit(prompts.ALIGN), F.concat(shown, F.array(model.text_part(words))), cfg.align_max_tokens, cfg.align_temperature).drop("pics")
-        got = _ask(ws, f"align/answers/round={i}", rq, backend).where("status = 'ok'")
-        m = got.select("video_id", "chunk_i", F.posexplode(F.from_json("answer", _MAPPING)["chunk_identity_mapping"]).alias("j", "m"))
+        answers = _ask(ws, f"align/answers/round={i}", rq, backend)
+        m = answers.where("status = 'ok'").select("video_id", "chunk_i", F.posexplode(F.from_json("answer", _MAPPING)["chunk_identity_mapping"]).alias("j", "m"))
         m = m.select("video_id", "chunk_i", "j", "m.*").withColumn("match_result", F.trim(F.coalesce("match_result", F.lit(""))))
         # A confidence that is no number makes its row an error, a missing one counts as sure.
         wrong = F.col("confidence_score").isNotNull() & F.col("confidence_score").try_cast("double").isNull()
         ws.put(f"align/errors/round={i}", m.where(wrong))
         m = m.where(~wrong).withColumn("confidence_score", F.col("confidence_score").try_cast("double"))
         kept = I.dedup_mappings(m, now, ["video_id", "chunk_i"], ["j"]).select("video_id", "chunk_i", "j", "norm", "temp_name", "match_result", "confidence_score")
-        own = ws.put(f"align/decisions/round={i}", kept)
-        decisions = own if decisions is None else decisions.unionByName(own)
-        placed = decisions.withColumn("p", (F.col("chunk_i") * 100_000 + F.col("j")).cast("int"))
-        fold = I.fold_clusters(placed, "video_id", split_below=cfg.hard_split_threshold, flag_below=cfg.confidence_threshold)
-        info = placed.join(fold, ["video_id", "p"]).join(one.select("video_id", "chunk_i", "norm", "descr", "anchor_ts"), ["video_id", "chunk_i", "norm"])
-        info = ws.put(f"align/state/round={i}", info)
-        sightings = info.select("video_id", "p", "chunk_i", "temp_name", "descr", "anchor_ts", "cluster_id")
-        flags = info.where("low_conf").select("video_id", "chunk_i", "temp_name", "cluster_id", "confidence_score")
-    return sightings, flags
+        made = bank.groupBy("video_id").agg(F.max(F.substring_index("cluster_id", "_", -1).cast("bigint")).alias("made"))
+        own = kept.withColumn("p", (F.col("chunk_i") * 100_000 + F.col("j")).cast("int")).join(made, "video_id", "left")
+        own = ws.put(f"align/decisions/round={i}", own)
+        fold = I.fold_clusters(own, "video_id", split_below=cfg.hard_split_threshold, flag_below=cfg.confidence_threshold, made_before="made")
+        info = own.join(fold, ["video_id", "p"]).join(now.select("video_id", "norm", "descr", "anchor_ts"), ["video_id", "norm"])
+        new = ws.put(f"align/state/round={i}", info).select(*bank.columns)
+        ended = ws.put(f"align/ended/round={i}", ended.unionByName(ended_by(answers, cfg)))
+        bank = ws.put(f"align/bank/round={i}", I.first_by_name(bank.unionByName(new), ["video_id", "cluster_id"], ["p"], "temp_name").select(*bank.columns))
+    if not rounds:
+        return bank, spark.createDataFrame([], "video_id string, chunk_i int, temp_name string, cluster_id string, confidence_score double")
+    info = ws.table("align/state")
+    sightings = info.select("video_id", "p", "chunk_i", "temp_name", "descr", "anchor_ts", "cluster_id")
+    return sightings, info.where("low_conf").select("video_id", "chunk_i", "temp_name", "cluster_id", "confidence_score")
 
 
 def review(ws: Workspace, sightings: DataFrame, videos: DataFrame, decoder: media.Decoder, backend, cfg: Config) -> DataFrame:
@@ -139,32 +158,44 @@ def refine(ws: Workspace, story: DataFrame, videos: DataFrame, decoder: media.De
     """Adds frame_caption and frame_timestamps to the story's events.
 
     The caption before stays inside a chapter, so the n-th events of all
-    chapters of all videos are one round. Events of no length and events whose
-    frames cannot be read are passed over.
+    chapters of all videos are one round; a round hands on the last caption of
+    each chapter that goes on. Events of no length and events whose frames
+    cannot be read are passed over; a video a failed call has ended is left out
+    of later rounds. A batch that was broken off goes on after the last whole
+    round of the same inputs.
     """
     from pyspark.sql import Window as W
 
+    spark = ws.spark
+    ws.begin("refine", "refined")
     adj = R.adjusted_start(story, "video_id", ["ch_idx", "ord"], cfg.refine_start_offset)
     n = S.event_frame_count(F.col("actual_start"), F.col("end_sec"), cfg.refine_fps, cfg.refine_max_frames)
     work = adj.select("video_id", "ch_idx", "ord", "event_id", "step3_synthesized_dense_caption", S.inner_points(F.col("actual_start"), F.col("end_sec"), n).alias("times"))
     work = work.withColumns({"turn": F.row_number().over(W.partitionBy("video_id", "ch_idx").orderBy("ord")), "item": F.concat_ws("|", "video_id", "ch_idx", "ord")})
     work = ws.put("refine/work", work.join(videos.select("video_id", "path"), "video_id"))
-    told = ws.spark.createDataFrame([], "video_id string, ch_idx int, ord int, turn int, frame_caption string, frame_timestamps array<double>")
+    prev, ended = spark.createDataFrame([], "video_id string, ch_idx int, prev string"), spark.createDataFrame([], ENDED)
     turns = work.agg(F.max("turn")).first()[0] or 0
     for t in range(1, turns + 1):
-        now = work.where(F.col("turn") == t)
-        frames = ws.put(f"refine/frames/turn={t}", media.grab(now, decoder, "item", cfg.frame_max_width, cfg.frame_jpg_quality))
+        if ws.exists(f"{ws.root}/refine/prev/turn={t}/_SUCCESS"):  # the last table of a round
+            prev, ended = ws.table(f"refine/prev/turn={t}"), ws.table(f"refine/ended/turn={t}")
+            continue
+        now = work.where(F.col("turn") == t).join(ended, "video_id", "left_anti")
+        frames = ws.put(f"refine/frames/turn={t}", media.grab(now, decoder, "item", cfg.refine_frame_max_width, cfg.refine_jpg_quality))
         shots = frames.groupBy("item").agg(F.array_sort(F.collect_list(F.struct("ord", "ts", "jpeg"))).alias("shots"))
-        prev = told.groupBy("video_id", "ch_idx").agg(F.max_by("frame_caption", "turn").alias("prev"))
         row = now.join(shots, "item").join(prev, ["video_id", "ch_idx"], "left")
         images = F.transform("shots", lambda x: model.image_part(x["jpeg"]))
         words = model.text_part(prompts.filled(("Caption before", F.col("prev")), ("Draft", F.col("step3_synthesized_dense_caption"))))
         row = row.withColumn("frame_timestamps", F.transform("shots", lambda x: F.bround(x["ts"], 3)))
-        rq = model.requests(row, "refinement", F.lit(prompts.REFINE), F.concat(images, F.array(words)), cfg.refine_max_tokens, cfg.refine_temperature, want="text").drop("shots")
-        got = _ask(ws, f"refine/answers/turn={t}", rq, backend).where("status = 'ok'")
-        own = ws.put(f"refine/told/turn={t}", got.select("video_id", "ch_idx", "ord", "turn", F.col("answer").alias("frame_caption"), "frame_timestamps"))
-        told = told.unionByName(own)
-    return story.join(told.drop("turn"), ["video_id", "ch_idx", "ord"], "left")
+        rq = model.requests(row, "refinement", F.lit(prompts.REFINE), F.concat(images, F.array(words)), cfg.refine_max_tokens, cfg.refine_temperature, want="text").drop("shots", "turn")
+        answers = _ask(ws, f"refine/answers/turn={t}", rq, backend)
+        own = ws.put(f"refine/told/turn={t}", answers.where("status = 'ok'").select("video_id", "ch_idx", "ord", F.col("answer").alias("frame_caption"), "frame_timestamps"))
+        ended = ws.put(f"refine/ended/turn={t}", ended.unionByName(ended_by(answers, cfg)))
+        going = work.where(F.col("turn") == t + 1).select("video_id", "ch_idx")
+        said = own.select("video_id", "ch_idx", F.col("frame_caption").alias("prev"))
+        last = said.unionByName(prev.join(said, ["video_id", "ch_idx"], "left_anti"))
+        prev = ws.put(f"refine/prev/turn={t}", last.join(going, ["video_id", "ch_idx"], "left_semi"))
+    told = ws.table("refine/told").drop("turn") if turns else spark.createDataFrame([], "video_id string, ch_idx int, ord int, frame_caption string, frame_timestamps array<double>")
+    return story.join(told, ["video_id", "ch_idx", "ord"], "left")
 
 
 def polish(ws: Workspace, refined: DataFrame, defs: DataFrame, backend, cfg: Config) -> DataFrame:

@@ -58,6 +58,13 @@ class Workspace:
         self.hashes[name] = hashlib.sha256(text.encode()).hexdigest()[:24]
         return self.hashes[name]
 
+    def begin(self, folder: str, stage: str) -> None:
+        """Remove a stage's rounds unless they are of the stage's own inputs."""
+        want, mark = self.hashes.get(stage, ""), f"{self.root}/{folder}/_inputs"
+        if self.read_text(mark) != want:
+            self.remove(f"{self.root}/{folder}")
+            self.write_text(mark, want)
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}")
 

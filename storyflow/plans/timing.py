@@ -161,7 +161,7 @@ def keyframe_violations(spark: SparkSession, d: str) -> D:
 def revision_merge(spark: SparkSession, d: str) -> D:
     from pyspark.sql import Window as W
 
-    e = A.events(spark, d, "start_time", "end_time", "step3_synthesized_dense_caption")
+    e = A.events(spark, d, "start_time", *snap.REVISED)
     edge = e.groupBy("run_id", "chunk_i").agg(
         F.max_by(F.struct("start_time"), "ev_i").alias("lst"), F.min_by(F.struct("start_time", "end_time"), "ev_i").alias("fst")
     )
@@ -171,9 +171,12 @@ def revision_merge(spark: SparkSession, d: str) -> D:
         F.when(F.col("chunk_i") % 4 != 0, F.col("_prev.start_time")).otherwise(F.col("fst.start_time")).alias("start_time"),
         F.when(F.col("chunk_i") % 5 != 0, F.col("fst.end_time")).alias("end_time"),
         F.when(F.col("chunk_i") % 2 == 0, F.concat(F.lit("revised by chunk "), F.col("chunk_i").cast("string"))).alias("step3_synthesized_dense_caption"),
+        F.when(F.col("chunk_i") % 7 < 4, F.concat(F.lit("seen by chunk "), F.col("chunk_i").cast("string"))).alias("step1_objective_visual"),
+        F.when(F.col("chunk_i") % 7 > 2, F.concat(F.lit("reasoned by chunk "), F.col("chunk_i").cast("string"))).alias("step2_contextual_reasoning"),
+        F.when(F.col("chunk_i") % 4 == 1, F.array(F.col("fst.start_time"))).alias("key_frame_times"),
     )
-    out = snap.apply_revisions(e, r)
-    return out.select("run_id", "chunk_i", "ev_i", "start_time", "end_time", F.col("step3_synthesized_dense_caption").alias("caption"), "revised")
+    out = snap.apply_revisions(e, r).withColumn("key_frame_times", F.array_join("key_frame_times", ",", "-"))
+    return out.select("run_id", "chunk_i", "ev_i", "start_time", *snap.REVISED[:3], F.col("step3_synthesized_dense_caption").alias("caption"), "key_frame_times", "revised")
 
 
 def timeline_gaps(spark: SparkSession, d: str) -> D:
@@ -280,10 +283,14 @@ SQL = {
         f"WITH {P.EVENTS},g AS (SELECT run_id,chunk_i,max(ev_i) AS last_i,arg_max(struct_pack(s:=start_time),ev_i) AS l,arg_min(struct_pack(s:=start_time,e:=end_time),ev_i) AS f FROM ev GROUP BY 1,2),"
         "h AS (SELECT *,lag(l) OVER w AS p,lag(chunk_i) OVER w AS pc,lag(last_i) OVER w AS pi FROM g WINDOW w AS (PARTITION BY run_id ORDER BY chunk_i)),"
         "r AS (SELECT run_id,pc AS chunk_i,pi AS ev_i,CASE WHEN chunk_i%4<>0 THEN p.s ELSE f.s END AS rs,CASE WHEN chunk_i%5<>0 THEN f.e END AS re,"
-        "CASE WHEN chunk_i%2=0 THEN 'revised by chunk '||chunk_i END AS rc FROM h WHERE pc IS NOT NULL AND chunk_i%3<>0),"
-        f"j AS (SELECT ev.*,re,rc,COALESCE(rs IS NOT NULL AND abs({P.seconds('start_time')}-{P.seconds('rs')})<=0.01,false) AS revised FROM ev LEFT JOIN r USING (run_id,chunk_i,ev_i))"
+        "CASE WHEN chunk_i%2=0 THEN 'revised by chunk '||chunk_i END AS rc,CASE WHEN chunk_i%7<4 THEN 'seen by chunk '||chunk_i END AS r1,"
+        "CASE WHEN chunk_i%7>2 THEN 'reasoned by chunk '||chunk_i END AS r2,CASE WHEN chunk_i%4=1 THEN [f.s] END AS rk FROM h WHERE pc IS NOT NULL AND chunk_i%3<>0),"
+        f"j AS (SELECT ev.*,re,rc,r1,r2,rk,COALESCE(rs IS NOT NULL AND abs({P.seconds('start_time')}-{P.seconds('rs')})<=0.01,false) AS revised FROM ev LEFT JOIN r USING (run_id,chunk_i,ev_i))"
         "SELECT run_id,chunk_i,ev_i,start_time,CASE WHEN revised THEN COALESCE(re,end_time) ELSE end_time END AS end_time,"
-        "CASE WHEN revised THEN COALESCE(rc,step3_synthesized_dense_caption) ELSE step3_synthesized_dense_caption END AS caption,revised FROM j"
+        "CASE WHEN revised THEN COALESCE(r1,step1_objective_visual) ELSE step1_objective_visual END AS step1_objective_visual,"
+        "CASE WHEN revised THEN COALESCE(r2,step2_contextual_reasoning) ELSE step2_contextual_reasoning END AS step2_contextual_reasoning,"
+        "CASE WHEN revised THEN COALESCE(rc,step3_synthesized_dense_caption) ELSE step3_synthesized_dense_caption END AS caption,"
+        "array_to_string(list_transform(CASE WHEN revised THEN COALESCE(rk,key_frame_times) ELSE key_frame_times END,lambda k: COALESCE(k,'-')),',') AS key_frame_times,revised FROM j"
     ),
     "timeline_gaps": (
         f"WITH {P.EVENTS},x AS (SELECT run_id,chunk_i,ev_i,{P.seconds('end_time')} AS end_sec,lead({P.seconds('start_time')}) OVER (PARTITION BY run_id ORDER BY chunk_i,ev_i) AS next_start_sec FROM ev)"

@@ -168,7 +168,7 @@ def test_thresholds_of_confidence_reach_the_fold(spark, monkeypatch, tmp_path):
     meta = spark.createDataFrame([("v", "v.mp4")], "video_id string, path string")
     cfg = Config(confidence_threshold=90, hard_split_threshold=75)
     stages.align(Workspace(spark, str(tmp_path)), chunks, cand, meta, FakeDecoder(), model.CallableBackend(fake_model, 1, _no_pause), cfg)
-    assert seen == [{"split_below": 75, "flag_below": 90}]
+    assert [(k["split_below"], k["flag_below"]) for k in seen] == [(75, 90)]
 
 
 def test_clips_instead_of_frames(spark, tmp_path):
@@ -200,3 +200,57 @@ def test_settings():
     cfg = settings(parser().parse_args(["--input", "a", "--output", "b", "--chunk", "30", "--api-key", "secret", "--payload", "video_base64"]))
     assert cfg.chunk_duration_sec == 30 and "secret" not in json.dumps(cfg.snapshot()) and cfg.digest() != Config().digest()
     assert cfg.digest() == cfg.with_(api_key="other", max_retries=9).digest()
+
+
+def test_a_failed_call_of_a_later_stage_fails_its_video_only(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name in ("good.mp4", "sad.mp4"):
+        (tmp_path / "in" / name).write_bytes(b"x")
+
+    def sad(request):
+        seen = [p["media"] or b"" for p in request["parts"]]
+        if request["stage"] == "alignment" and any(b"sad" in m for m in seen):
+            return "no json at all", {"total_tokens": 1}
+        return fake_model(request)
+
+    cfg = Config(max_frames_per_chunk=3, review_enable=False)
+    out = run_batch(spark, cfg, str(tmp_path / "in"), str(tmp_path / "out"), model.CallableBackend(sad, 2, _no_pause), FakeDecoder())
+    runs = {r.path.rsplit("/", 1)[1]: (r.status, r.error) for r in spark.read.parquet(out["root"] + "/runs").collect()}
+    assert runs["good.mp4"] == ("completed", None) and runs["sad.mp4"][0] == "failed" and runs["sad.mp4"][1].startswith("alignment: JSONDecodeError")
+    assert [r.video_path.rsplit("/", 1)[1] for r in spark.read.parquet(out["root"] + "/storyboards").collect()] == ["good.mp4"]
+    calls = spark.read.parquet(out["root"] + "/calls")
+    bad = calls.where("status = 'failed'").first()
+    assert (bad.stage, bad.attempts) == ("alignment", 2) and bad.seconds >= 0
+    assert spark.read.parquet(out["root"] + "/align/answers").where("status = 'failed'").first().answer == "no json at all"
+    assert {r.stage for r in calls.join(spark.read.parquet(out["root"] + "/runs").where("status = 'failed'"), "video_id").collect()} == {"perception", "alignment"}
+    numbers = json.loads(spark.read.text(out["root"] + "/summary.json", wholetext=True).first()[0])
+    assert numbers["status"] == {"completed": 1, "failed": 1} and numbers["seconds"] > 0 and numbers["tokens"]["total_tokens"] > 0
+
+
+def test_alignment_goes_on_after_the_last_whole_round(spark, tmp_path):
+    asked = tmp_path / "asked"
+    asked.mkdir()
+
+    def note(request):
+        (asked / request["request_id"]).write_bytes(b"x")
+        return fake_model(request)
+
+    cand = spark.createDataFrame([("v", i, j, n, "tall", f"00:00:0{i}") for i in range(4) for j, n in enumerate(("Ann", "Bob"))], "video_id string, chunk_i int, cand_i int, temp_name string, descr string, anchor_ts string")
+    chunks = spark.createDataFrame([("v", i, f"part {i}") for i in range(4)], "video_id string, chunk_i int, chunk_summary string")
+    meta = spark.createDataFrame([("v", "v.mp4")], "video_id string, path string")
+
+    def once(inputs):
+        ws = Workspace(spark, str(tmp_path / "ws"))
+        ws.key("people", inputs, ())
+        sightings, flags = stages.align(ws, chunks, cand, meta, FakeDecoder(), model.CallableBackend(note, 1, _no_pause), Config())
+        n = len(list(asked.iterdir()))
+        for f in asked.iterdir():
+            f.unlink()
+        return ws, n, sorted(tuple(r) for r in sightings.collect()), sorted(tuple(r) for r in flags.collect())
+
+    ws, n, sightings, flags = once("a")
+    assert n == 4 and {s[-1] for s in sightings} == {"cluster_0001"} and len(sightings) == 4 and len(flags) == 3
+    ws.remove(f"{ws.root}/align/bank/round=3")
+    assert once("a")[1:] == (1, sightings, flags)
+    assert once("a")[1:] == (0, sightings, flags)
+    assert once("b")[1:] == (4, sightings, flags)
