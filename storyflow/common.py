@@ -61,11 +61,15 @@ def load(spark: SparkSession, sf_dir: str, table: str, schema: str | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; set one only where none is named."""
+    """Use the shared folder the cluster names. Where none is named a folder of
+    this machine is set on a local master only; on a cluster that is an error.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not named and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "storyflow-checkpoints"))
 
 
@@ -88,6 +92,7 @@ def build_session(app: str = "storyflow", cores: int | str = "*", memory: str =
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -19,6 +19,15 @@ def _with_bounds(chapters: DataFrame, key: str) -> DataFrame:
     return c.withColumn("_e", F.when(F.col("_last"), F.col("_raw_end") + TAIL).otherwise(F.col("_raw_end")))
 
 
+def _bucket(t: Column, width: float, even: int = 1008) -> Column:
+    """The time bucket of ``t`` seconds: ``even`` buckets of ``width``, beyond
+    them 64 for every doubling. Never falls as ``t`` grows, below zero too."""
+    size = F.abs(t)
+    far = even + F.floor(F.log2(F.greatest(size, F.lit(width * even)) / (width * even)) * 64)
+    b = F.when(size < width * even, F.floor(size / width)).otherwise(far).cast("bigint")
+    return F.when(t < 0, -b - 1).otherwise(b)
+
+
 def mount(events: DataFrame, chapters: DataFrame, key: str = "run_id", bucket: float = 600.0, once: bool = False) -> DataFrame:
     """(key, ch_idx, event_id, chunk_i, ev_i): which events belong to which
     chapter, numbered in the order of the events.
@@ -27,11 +36,13 @@ def mount(events: DataFrame, chapters: DataFrame, key: str = "run_id", bucket: f
     chapter's start up to its end; to two that touch, unless ``once``, then to
     the earlier. Both sides are joined on the key and a time bucket, each
     chapter standing in every bucket it reaches, so a long video's events never
-    meet all of its chapters in one task. ``events`` has start_time, chunk_i and
+    meet all of its chapters in one task. Times are read leniently and may be
+    anything, so buckets grow wider beyond a week, and no chapter stands in more
+    than a few thousand of them. ``events`` has start_time, chunk_i and
     ev_i; unreadable times read as 0; events outside every chapter fall away.
     """
     c = _with_bounds(chapters.select(key, "ch_idx", "start_time", "end_time"), key).where(F.col("_s") - EARLY < F.col("_e"))
-    at = lambda x: F.floor(x / bucket).cast("bigint")
+    at = lambda x: _bucket(x, bucket)
     spread = c.select(key, "ch_idx", "_s", "_e", F.explode(F.sequence(at(F.col("_s") - EARLY), at(F.col("_e")))).alias("_b"))
     e = events.select(key, "chunk_i", "ev_i", parse_seconds(F.col("start_time")).alias("_t")).withColumn("_b", at(F.col("_t")))
     met = e.join(spread, [key, "_b"]).where((F.col("_t") >= F.col("_s") - EARLY) & (F.col("_t") < F.col("_e")))

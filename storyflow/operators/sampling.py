@@ -25,12 +25,14 @@ def clip_scenes(scenes: DataFrame, chunks: DataFrame, key: str, length: float =
     """(key, chunk_i, chunk_start, chunk_end, scene_idx, s, e): scenes clipped to
     chunks; a chunk without any becomes one scene over all of it, index 0.
 
-    A scene is exploded to the chunks it can touch and joined by chunk number,
-    so no chunk meets all scenes of its video. ``scenes`` has (key, scene_idx,
-    start_sec, end_sec); empty and reversed scenes fall away.
+    A scene is exploded to the chunks it can touch, of those its video has, and
+    joined by chunk number, so no chunk meets all scenes of its video. ``scenes``
+    has (key, scene_idx, start_sec, end_sec); empty and reversed scenes fall away.
     """
-    first, last = F.floor(F.col("start_sec") / length).cast("int"), F.floor(F.col("end_sec") / length).cast("int")
-    spread = scenes.where("start_sec < end_sec and end_sec > 0").withColumn("chunk_i", F.explode(F.sequence(F.greatest(first, F.lit(0)), last)))
+    top = chunks.groupBy(key).agg(F.max("chunk_i").alias("_top"))
+    first, last = F.floor(F.col("start_sec") / length), F.least(F.floor(F.col("end_sec") / length), F.col("_top"))
+    inside = scenes.where("start_sec < end_sec and end_sec > 0").join(top, key).withColumns({"_first": F.least(F.greatest(first, F.lit(0)), F.col("_top") + 1).cast("int"), "_last": last.cast("int")})
+    spread = inside.where("_first <= _last").withColumn("chunk_i", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last", "_top")
     met = chunks.join(spread, [key, "chunk_i"], "left")
     s, e = F.greatest("start_sec", "chunk_start"), F.least("end_sec", "chunk_end")
     clipped = met.withColumns({"s": s, "e": e}).withColumn("_in", F.coalesce(F.col("s") < F.col("e"), F.lit(False)))

@@ -33,7 +33,10 @@ def chapter_mount_once(spark: SparkSession, d: str) -> D:
 
 
 def chapter_overflow(spark: SparkSession, d: str) -> D:
+    """Over chapters that start late and end at once, so that events are lost
+    before them and stand behind the last one's own end."""
     ev, ch = _mount_inputs(spark, d)
+    ch = ch.where("ch_idx > 0").withColumn("end_time", F.col("start_time"))
     return C.overflow(ev, ch, cut(C.mount(ev, ch)))
 
 
@@ -192,6 +195,7 @@ _MOUNT = (
     f"mt AS (SELECT ev.run_id,ch_idx,chunk_i,ev_i FROM ev JOIN ce ON ce.run_id=ev.run_id AND {_T}>=s-0.5 AND {_T}<e),"
     "mo AS (SELECT *,printf('ev_%02d_%03d',ch_idx+1,row_number() OVER (PARTITION BY run_id,ch_idx ORDER BY chunk_i,ev_i)) AS event_id FROM mt)"
 )
+_LATE = _MOUNT.replace("AS last FROM ch)", "AS last FROM (SELECT run_id,ch_idx,start_time,start_time AS end_time FROM ch WHERE ch_idx>0))")
 _ONCE = "(SELECT run_id,chunk_i,ev_i,min(ch_idx) AS ch_idx FROM mt GROUP BY 1,2,3)"
 _IN_LAST = "il AS (SELECT mo.run_id,count(*) AS n FROM mo JOIN ce USING (run_id,ch_idx) WHERE last GROUP BY 1)"
 _LAST_BANK = f"{P.SIGHTINGS},lb AS (SELECT run_id,temp_name AS name,arg_max(struct_pack(x:=descr),struct_pack(a:=ch_idx,b:=ev_pos,c:=c_pos)).x AS descr FROM sg WHERE temp_name IS NOT NULL GROUP BY 1,2)"
@@ -217,7 +221,7 @@ SQL = {
     "chapter_mount": f"WITH {_MOUNT} SELECT run_id,ch_idx,chunk_i,ev_i,event_id FROM mo",
     "chapter_mount_once": f"WITH {_MOUNT} SELECT run_id,ch_idx,chunk_i,ev_i,printf('ev_%02d_%03d',ch_idx+1,row_number() OVER (PARTITION BY run_id,ch_idx ORDER BY chunk_i,ev_i)) AS event_id FROM {_ONCE}",
     "chapter_overflow": (
-        f"WITH {_MOUNT},{_IN_LAST},sh AS (SELECT ev.run_id FROM ev WHERE run_id IN (SELECT run_id FROM ch) GROUP BY 1 HAVING count(*)>COALESCE((SELECT count(*) FROM mo WHERE mo.run_id=ev.run_id),0))"
+        f"WITH {_LATE},{_IN_LAST},sh AS (SELECT ev.run_id FROM ev WHERE run_id IN (SELECT run_id FROM ch WHERE ch_idx>0) GROUP BY 1 HAVING count(*)>COALESCE((SELECT count(*) FROM mo WHERE mo.run_id=ev.run_id),0))"
         f"SELECT ev.run_id,ch_idx,chunk_i,ev_i,printf('ev_fallback_%03d',COALESCE(n,0)+row_number() OVER (PARTITION BY ev.run_id ORDER BY chunk_i,ev_i)) AS event_id FROM ev JOIN ce ON ce.run_id=ev.run_id AND last AND {_T}>=raw_e"
         " LEFT JOIN il ON il.run_id=ev.run_id WHERE ev.run_id IN (SELECT run_id FROM sh)"
     ),

@@ -246,4 +246,11 @@ SQL = {
     "resolved_candidates": f"{_FINAL},au AS (SELECT run_id,ch_idx,temp_name,max(cluster_id) AS cluster_id FROM si GROUP BY 1,2,3) SELECT sg.run_id,sg.ch_idx,CAST(ev_pos AS INT) AS ev_pos,CAST(c_pos AS INT) AS c_pos,sg.temp_name,cluster_id,final_name FROM sg LEFT JOIN au USING (run_id,ch_idx,temp_name) LEFT JOIN fi USING (run_id,cluster_id)",
     "caption_rewrite": f"{_REWRITE} SELECT run_id,event_id,rewritten FROM rw",
     "rewrite_hits": f"{_REWRITE} SELECT run_id,CAST(sum(hits) AS BIGINT) AS n_hits FROM rw GROUP BY 1",
+    # No look-behind here: the caption is cut at the name, and each place is judged by the parts beside it.
+    "bounded_replace": (
+        f"WITH {P.PAIRS},c AS (SELECT run_id,event_id,step3_synthesized_dense_caption AS t,regexp_extract_all(step3_synthesized_dense_caption,'{X.MENTION}')[1] AS name FROM pr),"
+        "s AS (SELECT *,string_split(t,name) AS ps FROM c)"
+        "SELECT run_id,event_id,CASE WHEN name IS NULL OR t IS NULL THEN t ELSE array_to_string(list_transform(range(1,len(ps)+1),lambda i: ps[i]||CASE WHEN i=len(ps) THEN ''"
+        " WHEN regexp_matches(right(ps[i],1),'[\\p{L}\\p{N}_一-鿿]') OR regexp_matches(left(ps[i+1],1),'[\\p{L}\\p{N}_一-鿿]') THEN name ELSE '<$1\\name>' END),'') END AS replaced FROM s"
+    ),
 }

@@ -13,7 +13,7 @@ QUERIES, SQL = catalog.queries(), catalog.oracle_sql()
 
 def test_every_oracle_has_a_query():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"bounded_replace"}
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -169,3 +169,23 @@ def test_story_and_usage(spark):
     calls = spark.createDataFrame([("v", "s", 1, 2, 3), ("v", "s", None, None, None), ("v", "t", 5, None, 5), ("w", None, 1, 1, 2)], "video_id string, stage string, prompt_tokens long, completion_tokens long, total_tokens long")
     assert sorted(tuple(r) for r in U.by(calls, "video_id").collect()) == [("v", 6, 2, 8, 2), ("w", 1, 1, 2, 1)]
     assert U.rollup(calls).where("grain = 3").first()[2:6] == (7, 3, 10, 3)
+
+
+def test_times_of_any_size_give_few_buckets(spark):
+    """Readable nonsense in a time neither breaks the mounting nor loses an event."""
+    ch = [("r", 0, "[00:00:00]", "[99999999:00:00]"), ("r", 1, "[00:10:00]", "[00:20:00]"), ("r", 2, "[300:00:00]", "[99999999:00:00]"), ("s", 0, "-9999:00:00", "00:00:10")]
+    ev = [("r", 0, 0, "[00:00:01]"), ("r", 0, 1, "[00:15:00]"), ("r", 0, 2, "[99999998:00:00]"), ("r", 0, 3, "[200:00:00]"), ("s", 0, 0, "-9998:00:00"), ("s", 0, 1, "00:00:09.9")]
+    c = spark.createDataFrame(ch, "run_id string, ch_idx int, start_time string, end_time string")
+    e = spark.createDataFrame(ev, "run_id string, chunk_i int, ev_i int, start_time string")
+    got = sorted((r.run_id, r.ch_idx, r.ev_i) for r in C.mount(e, c).collect())
+    assert got == [("r", 0, 0), ("r", 0, 1), ("r", 0, 2), ("r", 0, 3), ("r", 1, 1), ("r", 2, 2), ("s", 0, 0), ("s", 0, 1)]
+    t = spark.range(-3000, 3000).select((F.expr("sign(id) * pow(1.02, abs(id))")).alias("t")).orderBy("t")
+    b = [r[0] for r in t.select(C._bucket(F.col("t"), 600.0)).collect()]
+    assert b == sorted(b) and max(b) < 6000
+
+
+def test_scenes_far_beyond_the_video(spark):
+    chunks = spark.createDataFrame([("v", 0, 0.0, 60.0), ("v", 1, 60.0, 90.0)], "video_id string, chunk_i int, chunk_start double, chunk_end double")
+    scenes = spark.createDataFrame([("v", 0, 10.0, 1e15), ("v", 1, 1e14, 1e15), ("w", 0, 0.0, 9.0)], "video_id string, scene_idx int, start_sec double, end_sec double")
+    got = sorted(tuple(r) for r in S.clip_scenes(scenes, chunks, "video_id").collect())
+    assert got == [("v", 0, 0.0, 60.0, 0, 10.0, 60.0), ("v", 1, 60.0, 90.0, 0, 60.0, 90.0)]
