@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..common import load, shipped
 from ..sources.adapters import POLISHED_CAPTIONS
-from . import endings, mojibake, pairs, repetition, runs, tokens
+from . import endings, mojibake, oracles, pairs, repetition, runs, tokens
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,4 +78,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
