@@ -29,7 +29,7 @@ RIGHT = ("utf-8", "gb18030", "cp1251", "koi8-r", "cp1252", "cp866", "mac_roman",
 _DOUBLE = {"gb18030", "big5", "cp932", "cp949"}
 _DOUBLE_WRONG = _DOUBLE | {"cp949"}
 _CYRILLIC = {"cp1251", "koi8-r", "cp866"}
-_PAIRED = re.compile(r"[^\x00-\x7f]{6}|[^\x00-\x7f][0-9][^\x00-\x7f][0-9]")
+_PAIRED = re.compile(r"[^\x00-\x7f]{6}|[\u00a1\u00a8][\u00a1-\u00bf]|[^\x00-\x7f][0-9][^\x00-\x7f][0-9]")
 _THREE = re.compile(r"[^\x00-\x7f]{3}")
 _FIVE = "".join(map(chr, range(0x80, 0xA0)))
 _C1 = re.compile(r"[\x80-\x84\x86-\x9f]")
@@ -112,7 +112,7 @@ def _char(c: str) -> tuple[float, str]:
     if o < 0x0250 and cat[0] == "L":
         return (0.02 if o < 0x100 or c in "œŒšŠžŽŸąćęłńśźżĄĆĘŁŃŚŹŻčďěňřťůČĎĚŇŘŤŮőűŐŰğışĞİŞ" else 0.5) if c not in "ªº" else 0.3, "latin"
     if 0x0300 <= o <= 0x036F:
-        return 0.0, "mark"
+        return (0.0 if o <= 0x030C or o in (0x0323, 0x0326, 0x0327, 0x0328, 0x0331) else 0.4), "mark"
     if 0x0370 <= o <= 0x03FF:
         return 0.3, "greek"
     if cat[0] == "L":
@@ -241,23 +241,23 @@ def _byte_costs() -> tuple[tuple[str, ...], np.ndarray]:
     return codecs_, table
 
 
-def neighbours(text: str, strong_only: bool = False, limit: float = float("inf")) -> Iterator[tuple[str, bool]]:
-    """(state, strong) one operation away; strong if multi-byte structure, not
-    only a table of single bytes, confirms it. Those come first. Of the others
+def neighbours(text: str, strong_only: bool = False, limit: float = float("inf")) -> Iterator[tuple[str, bool, tuple[str, str]]]:
+    """(state, strong, (wrong, right)) one operation away; strong if multi-byte
+    structure, not only a table of single bytes, confirms it. Those come first. Of the others
     those whose characters alone cost ``limit`` or more are left out; counts of
     bytes against a table of costs tell them without decoding.
     """
     if "&" in text and (plain := html.unescape(text)) != text:
-        yield plain, False
+        yield plain, False, ("", "")
     encoded: dict[bytes, str] = {}
     for wrong in WRONG:
         data = _encode(text, wrong)
         if data is not None and data not in encoded:
             encoded[data] = wrong
-    for data in encoded:
+    for data, wrong in encoded.items():
         out = _decode(data, "utf-8")
         if out is not None and out != text:
-            yield out, True
+            yield out, True, (wrong, "utf-8")
     if strong_only:
         return
     paired, three = bool(_PAIRED.search(text)), bool(_THREE.search(text))
@@ -269,20 +269,20 @@ def neighbours(text: str, strong_only: bool = False, limit: float = float("inf")
             if least < limit and right != wrong and (wrong not in _DOUBLE_WRONG or three and right in _CYRILLIC):
                 out = _decode(data, right)
                 if out is not None and out != text:
-                    yield out, False
+                    yield out, False, (wrong, right)
         if paired:  # two-byte characters leave long stretches outside ASCII
             for right in _DOUBLE:
                 out = _decode(data, right) if right in RIGHT and right != wrong else None
                 if out is not None and out != text:
-                    yield out, False
+                    yield out, False, (wrong, right)
 
 
 #: What an operation adds to a text's cost that no multi-byte structure confirms; after the first one more.
 _STEP, _FURTHER = 0.1, 0.25
 
 
-def search(text: str, strong_only: bool = False) -> tuple[str, float, float]:
-    """(best text, its cost, the first cost): best-first over the operations.
+def search(text: str, strong_only: bool = False) -> tuple[str, float, float, bool]:
+    """(best text, its cost, the first cost, strong): best-first over the operations.
 
     Every operation on a way has to lower the cost, its own share counted, or
     the way would only lead around. What the operations of a way cost is a lower
@@ -291,7 +291,7 @@ def search(text: str, strong_only: bool = False) -> tuple[str, float, float]:
     and whose characters are plain. No other limit ends it.
     """
     first = cost(text)
-    best, best_cost = text, first
+    best, best_cost, sure = text, first, False
     heap: list[tuple[float, int, str, float]] = [(first, 0, text, 0.0)]
     visited, n = {hash(text)}, 0
     while heap:
@@ -299,7 +299,7 @@ def search(text: str, strong_only: bool = False) -> tuple[str, float, float]:
         if way >= best_cost:
             continue
         weak = way + (_FURTHER if state is not text else _STEP)
-        for out, strong in neighbours(state, strong_only or weak >= best_cost, c - weak):
+        for out, strong, _ in neighbours(state, strong_only or weak >= best_cost, c - weak):
             if (h := hash(out)) in visited:
                 continue
             visited.add(h)
@@ -310,38 +310,60 @@ def search(text: str, strong_only: bool = False) -> tuple[str, float, float]:
             n += 1
             heapq.heappush(heap, (oc, n, out, to))
             if oc < best_cost:
-                best, best_cost = out, oc
+                best, best_cost, sure = out, oc, strong
                 if strong and oc - to <= 0.05 * len(_NON_ASCII.findall(out)) + 0.1:
-                    return best, best_cost, first
-    return best, best_cost, first
+                    return best, best_cost, first, sure
+    return best, best_cost, first, sure
 
 
 def _better(first: float, then: float, out: str) -> bool:
     return first - then >= 0.4 - 1e-9 and then <= 0.4 * first + 0.02 * len(out) ** 0.5
 
 
+def _same_reading(parts: list[list], pair: tuple[str, str], options: dict[int, dict]) -> None:
+    """Let the stretches of a text follow one reading: those it explains as well
+    as their own best, and those too short to be told alone if it makes them
+    plainer."""
+    wrong, right = pair
+    for i, (kept, made, s) in enumerate(parts):
+        if i in options:
+            if pair in options[i]:
+                parts[i][1] = options[i][pair]
+        elif made is kept and not s.isascii() and (data := _encode(s, wrong)) is not None:
+            out = _decode(data, right)
+            if out is None or out == s:
+                continue
+            gain = cost(s) - cost(out)
+            if gain >= 0.0 if right == "utf-8" else gain >= 0.2:
+                parts[i][1] = out
+
+
 def restore(text: str, least: float = 0.45) -> tuple[bool, str]:
     """(affected, text with every stretch restored that could be).
 
     Stretches are sentences and lines, then the runs outside ASCII in one that
-    holds right and wrong characters. A stretch whose bytes are lost keeps its
-    replacement marks.
+    holds right and wrong characters. A text is mostly read wrongly in one way:
+    of the readings that explain a stretch about as well as the best, the one
+    that explains most of the text is taken. A stretch whose bytes are lost
+    keeps its replacement marks.
     """
     if text.isascii() and "&" not in text:
         return False, text
     affected = _LOST in text or bool(_C1.search(text))
-    out: list[str] = []
+    parts: list[list] = []  # what stood there, what stands there now, what was read
+    whole: dict[int, tuple[float, bool]] = {}
     for m in _SEGMENT.finditer(text):
         kept = s = m.group()
         if "&" in s:
             s = html.unescape(s)  # entities are right, what they stand for may not be
         if s.isascii() or cost(s) < least - 1e-9:
-            out.append(kept)
+            parts.append([kept, kept, s])
             continue
-        best, then, first = search(s)
+        best, then, first, sure = search(s)
         if _better(first, then, best):
             affected = True
-            out.append(best)
+            whole[len(parts)] = (then, sure)
+            parts.append([kept, best, s])
             continue
 
         lost = _LOST in s  # beside lost bytes only what multi-byte structure confirms
@@ -351,15 +373,32 @@ def restore(text: str, least: float = 0.45) -> tuple[bool, str]:
             w = r.group()
             if cost(w) < least - 1e-9:
                 return w
-            b, t, f = search(w, lost)
+            b, t, f, _ = search(w, lost)
             if _better(f, t, b):
                 affected = True
                 return b
             return w
 
         mixed = "".join(_RUN.sub(one, side) for side in _SIDES.findall(s))
-        out.append(kept if mixed == s else mixed)
-    return affected, "".join(out)
+        parts.append([kept, kept if mixed == s else mixed, s])
+    if whole:
+        options: dict[int, dict] = {}
+        score: dict[tuple[str, str], list[float]] = {}
+        for i, (then, sure) in whole.items():
+            s = parts[i][2]
+            options[i] = {}
+            for out, strong, pair in neighbours(s, sure, then + 0.15):
+                weight = 0.0 if strong else _STEP
+                c = cost(out, then + 0.15 - weight) + weight
+                if c <= then + 0.15 and pair[0]:
+                    options[i][pair] = out
+                    has = score.setdefault(pair, [0.0, 0.0, 0.0])
+                    has[0] += len(_NON_ASCII.findall(s))
+                    has[1] -= round(c, 6)
+                    has[2] += out == parts[i][1]
+        if score:
+            _same_reading(parts, max(score, key=lambda p: (score[p], -RIGHT.index(p[1]), -WRONG.index(p[0]))), options)
+    return affected, "".join(made for _, made, _ in parts)
 
 
 def garbled(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -80,3 +80,19 @@ def test_table(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("restored", F.lit("clash"))
     assert sorted((r.doc_id or 0, r.restored) for r in M.garbled(df).collect()) == [(0, "cafés"), (1, "café au lait"), (1, "café au lait")]
     assert M.garbled(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("right", "wrong"), [("cp1252", "cp850"), ("cp1252", "mac_roman"), ("gb18030", "latin-1"), ("utf-8", "cp1252"), ("koi8-r", "cp1251")])
+def test_one_reading_for_the_whole_text(right, wrong):
+    """A stretch too short to be told alone follows the others."""
+    text = {
+        "koi8-r": "Затем общий план держится долго. Он ждёт. Вдали кто-то рисует карту.",
+        "gb18030": "Die Brücke trägt schöne Bögen über den Fluß. Er hält inne. Überall hört man Gelächter.",
+    }.get(right, "Überall hörte man Gelächter und süße Töne. Er fühlt es. Die Stimmung schwankt für größere Flöße.")
+    assert M.restore(garble(text, right, wrong)) == (True, text)
+
+
+def test_a_right_stretch_in_a_wrong_text_stays():
+    good = "El ánimo pasa de alegre a triste."
+    bad = garble("La niña sueña con el león pequeño y el árbol.", "cp1252", "cp850")
+    assert M.restore(f"{bad}\n{good}") == (True, f"La niña sueña con el león pequeño y el árbol.\n{good}")
