@@ -7,6 +7,11 @@ terminator and never closed. What closes all it opens is held against a baseline
 whole, because a further sentence or a full stop follows. Frames are counted in
 each batch before any shuffle and matched by key, so neither the corpus nor the
 baseline is ever collected or broadcast.
+
+An end that looks whole but lacks its full stop is judged by its source: where
+such ends are about as rare, beside the source's cuts, as cuts that fall just
+before a full stop must be, the source ends its sentences and the value was cut;
+where they are more, the source leaves full stops out.
 """
 
 from __future__ import annotations
@@ -128,8 +133,10 @@ def sentence_frames(s: str) -> tuple[str, str, str, str] | None:
     return f"s{head}|{tail}", f"c{' '.join(clause)}|{tail}", f"w{head}|{words[-1]}", f"e{' '.join(words[-3:])}"
 
 
-#: The key under which the number of sentences is kept.
-TOTAL = key("all sentences")
+#: The keys under which the number of sentences and of their characters is kept.
+TOTAL, LENGTH = key("all sentences"), key("all characters")
+#: Ends without a full stop that look whole, as a multiple of the cuts that fall there by chance, from which they are a source's habit.
+HABIT = 2.0
 #: A frame belongs to the baseline from this share of all sentences on.
 LEAST_SHARE = 1e-5
 
@@ -139,7 +146,7 @@ class Endings:
 
     def __init__(self) -> None:
         self.seen: Counter[str] = Counter()
-        self.total = 0
+        self.total = self.length = 0
 
     def read(self, text: str) -> tuple[str, list[int] | None]:
         """("blank" | "whole" | "cut" | "open", keys of an open end). Learns
@@ -170,6 +177,7 @@ class Endings:
         own = set(sentences)
         self.seen.update(own)
         self.total += len(own)
+        self.length += sum(map(len, own))
 
     def drain(self) -> list[tuple[int, int]]:
         """(key, count) of the frames of all sentences since the last call."""
@@ -177,9 +185,9 @@ class Endings:
         for s, n in self.seen.items():
             for x in sentence_frames(s) or ():
                 frames[x] += n
-        out = [(key(k), n) for k, n in frames.items()] + [(TOTAL, self.total)]
+        out = [(key(k), n) for k, n in frames.items()] + [(TOTAL, self.total), (LENGTH, self.length)]
         self.seen.clear()
-        self.total = 0
+        self.total = self.length = 0
         return out
 
 
@@ -197,24 +205,40 @@ def rows(items: list[tuple], frames: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, ROW)], schema=ROW)
 
 
-def judge_open(marked: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
-    """The open ends of ``marked`` that no whole sentence's end looks like.
+_ITEM_KEY = ["field", "run_id", "item_id"]
+
+
+def judge_open(marked: DataFrame, least_share: float = LEAST_SHARE, habit: float = HABIT) -> DataFrame:
+    """The open ends of ``marked`` that broke off: (field, run_id, item_id,
+    source).
 
-    An end counts as whole if its last three words end sentences elsewhere and
-    one of its frames with a beginning does so too, each often enough. What is
-    often enough follows the size of the corpus; only the number of its
-    sentences comes to the driver.
+    An end looks whole if its last three words end sentences elsewhere and one
+    of its frames with a beginning does so too, each often enough; what is often
+    enough is a share of the corpus's sentences. One that does not look whole
+    broke off. One that does broke off too if its source ends its sentences: if
+    such ends are at most ``habit`` times the share of its cuts that falls just
+    before a full stop by chance, one in the mean length of a sentence. Only the
+    number and the length of all sentences come to the driver; a null source is
+    a source of its own.
     """
     counts = marked.where("what = 'frame'")
-    total = counts.where(F.col("key") == TOTAL).agg(F.sum("n")).first()[0] or 0
+    sums = counts.where(F.col("key").isin(TOTAL, LENGTH)).agg(*[F.sum(F.when(F.col("key") == k, F.col("n"))) for k in (TOTAL, LENGTH)]).first()
+    total, length = sums[0] or 0, sums[1] or 0
     least = max(1, int(least_share * total))
     baseline = counts.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key")
-    ends = marked.where("what = 'open'").select("field", "run_id", "item_id", "source", "keys").dropDuplicates(["field", "run_id", "item_id"])
-    asked = ends.select("field", "run_id", "item_id", "source", F.posexplode("keys").alias("i", "key"))
+    ends = marked.where("what = 'open'").select(*_ITEM_KEY, "source", "keys").dropDuplicates(_ITEM_KEY)
+    asked = ends.select(*_ITEM_KEY, "source", F.posexplode("keys").alias("i", "key"))
     hit = asked.join(baseline.withColumn("known", F.lit(1)), "key", "left")
     known = lambda i: F.max(F.when(F.col("i") == i, F.coalesce("known", F.lit(0))))
-    told = hit.groupBy("field", "run_id", "item_id", "source").agg(*[known(i).alias(f"k{i}") for i in range(4)])
-    return told.where(~((F.col("k3") == 1) & (F.col("k0") + F.col("k1") + F.col("k2") > 0))).select("field", "run_id", "item_id", "source")
+    told = hit.groupBy(*_ITEM_KEY, "source").agg(*[known(i).alias(f"k{i}") for i in range(4)])
+    told = cut(told.select(*_ITEM_KEY, "source", ((F.col("k3") == 1) & (F.col("k0") + F.col("k1") + F.col("k2") > 0)).alias("looks")))
+    sure = marked.where("what = 'cut'").select(*_ITEM_KEY, "source").dropDuplicates(_ITEM_KEY)
+    by_source = told.select("source", "looks").unionByName(sure.select("source", F.lit(False).alias("looks"))).groupBy("source")
+    n = by_source.agg(F.count_if(F.col("looks")).alias("whole"), F.count_if(~F.col("looks")).alias("broken"))
+    chance = F.col("broken") * (total / length if length else 0.0)
+    ending = n.where((F.col("whole") > 0) & (F.col("whole") <= habit * chance)).select(F.col("source").alias("_source"))
+    late = told.where("looks").join(ending, F.col("source").eqNullSafe(F.col("_source")), "left_semi")
+    return told.where("NOT looks").unionByName(late).select(*_ITEM_KEY, "source")
 
 
 def mark(values: DataFrame, whole: bool = False) -> DataFrame:
@@ -238,9 +262,6 @@ def mark(values: DataFrame, whole: bool = False) -> DataFrame:
     return values.where(F.col("text").isNotNull()).select("field", "run_id", "item_id", "source", "text").mapInArrow(run, ROW_DDL)
 
 
-_ITEM_KEY = ["field", "run_id", "item_id"]
-
-
 def _cut_ends(marked: DataFrame, least_share: float) -> DataFrame:
     sure = marked.where("what = 'cut'").select(*_ITEM_KEY, "source").dropDuplicates(_ITEM_KEY)
     return sure.unionByName(judge_open(marked, least_share)).dropDuplicates(_ITEM_KEY)

@@ -268,17 +268,17 @@ def defects(pairs: DataFrame) -> DataFrame:
         endings = Endings()
         for b in batches:
             items = []
-            for run_id, event, prompt, response in zip(*(c.to_pylist() for c in b.columns)):
+            for run_id, event, prompt, response, source in zip(*(c.to_pylist() for c in b.columns)):
                 if (kind := certain_defect(prompt, response)) is not None:
                     items.append((kind, None, run_id, event, None, None))
                     continue
                 what, keys = endings.read(response)
                 if what in ("cut", "open"):
-                    items.append((what, None, run_id, event, None, keys))
+                    items.append((what, None, run_id, event, source, keys))
             yield rows(items, endings.drain())
 
-    source = pairs.select("run_id", "event_id", F.col("step3_synthesized_dense_caption").alias("p"), F.col("frame_caption").alias("r"))
-    marked = cut(source.mapInArrow(run, ROW_DDL))
+    asked = pairs.select("run_id", "event_id", F.col("step3_synthesized_dense_caption").alias("p"), F.col("frame_caption").alias("r"), F.col("source"))
+    marked = cut(asked.mapInArrow(run, ROW_DDL))
     sure = marked.where(~F.col("what").isin("frame", "open")).select("run_id", F.col("item_id").alias("event_id"), F.when(F.col("what") == "cut", "truncated").otherwise(F.col("what")).alias("defect"))
     told = judge_open(marked).select("run_id", F.col("item_id").alias("event_id"), F.lit("truncated").alias("defect"))
     return sure.unionByName(told).groupBy("run_id", "event_id").agg(F.min_by("defect", F.expr("array_position(array('empty','refusal','copy','wrong_language','truncated'), defect)")).alias("defect"))

@@ -63,3 +63,15 @@ def test_rates_count_each_value_once(spark):
     got = sorted((r.source or "", r.n_values, r.n_unended, r.n_cut, r.share) for r in E.rates(df).collect())
     assert got == [("", 1, 0, 0, 0.0), ("s", 3, 1, 1, 1 / 3)]
     assert E.rates(df.limit(0)).count() == 0
+
+
+def test_an_end_that_looks_whole_is_judged_by_its_source(spark):
+    """One such end among a hundred cuts is a cut before the full stop; in a source that leaves full stops out it is whole."""
+    whole = "A dog runs along the narrow path"
+    rows = [("f", "r", f"w{i}", "s", " ".join(WHOLE)) for i in range(3)]
+    rows += [("f", "r", f"c{i}", "tidy", f"Rain falls on the old roof. A dog runs along the nar{chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(100)] + [("f", "r", "c", "tidy", whole)]
+    rows += [("f", "r", f"h{i}", "lazy", whole) for i in range(30)] + [("f", "r", "h", "lazy", "A dog runs along the"), ("f", "r", "n", None, whole)]
+    df = spark.createDataFrame(rows, "field string, run_id string, item_id string, source string, text string")
+    got = {r.item_id for r in E.truncated(df).collect()}
+    assert got == {f"c{i}" for i in range(100)} | {"c", "h"}
+    assert {(r.source, r.n_unended, r.n_cut) for r in E.rates(df).collect()} == {("s", 0, 0), ("tidy", 101, 101), ("lazy", 31, 1), (None, 1, 0)}

@@ -94,7 +94,7 @@ def test_defects_of_a_table(spark):
         ("r", "n1", EN, "[P1] sits in the garden. Meanwhile rain streaks the window"), ("r", "n2", EN, "[P1] sits in the garden. Behind the two of them, fog hides the far side ♪"),
         ("r", "n3", None, whole.format("[P9]")), ("r", "n4", EN, " ".join([whole.format("[P1]")] * 3000)),
     ]
-    df = spark.createDataFrame(rows, "run_id string, event_id string, step3_synthesized_dense_caption string, frame_caption string").withColumns({"what": F.lit("x"), "defect": F.lit("y"), "key": F.lit(1)})
+    df = spark.createDataFrame(rows, "run_id string, event_id string, step3_synthesized_dense_caption string, frame_caption string").withColumns({"source": F.lit(None).cast("string"), "what": F.lit("x"), "defect": F.lit("y"), "key": F.lit(1)})
     got = {(r.event_id): r.defect for r in pairs.defects(df).collect()}
     assert got == {"e1": "empty", "e2": "empty", "c1": "copy", "w1": "wrong_language", "f1": "refusal", "t1": "truncated", "t2": "truncated", "t3": "truncated"}
     assert pairs.defects(df).count() == len(got) and pairs.defects(df.limit(0)).count() == 0
