@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.timecode import parse_seconds
+from .pieces import neighbour
 
 
 def adjusted_start(events: DataFrame, key: str, order: list[str], offset: float = 0.5) -> DataFrame:
@@ -14,9 +15,8 @@ def adjusted_start(events: DataFrame, key: str, order: list[str], offset: float
     one before it in the whole video ended starts a little later, never past a
     hundredth before its own end. Events whose end is not after their start are
     left out after their neighbour has seen them."""
-    w = W.partitionBy(key).orderBy(*order)
     e = events.withColumns({"start_sec": parse_seconds(F.col("start_time")), "end_sec": parse_seconds(F.col("end_time"))})
-    e = e.withColumn("_prev", F.lag("end_sec").over(w))
+    e = neighbour(e, key, order, F.col("end_sec"), "_prev")
     meets = (F.abs(F.col("start_sec") - F.col("_prev")) < 0.01) & (F.col("start_sec") > 0)
     shifted = F.least(F.col("start_sec") + offset, F.greatest(F.col("start_sec"), F.col("end_sec") - 0.01))
     return e.withColumn("actual_start", F.when(meets, shifted).otherwise(F.col("start_sec"))).where("end_sec > start_sec").drop("_prev")

@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.timecode import format_seconds, parse_seconds
+from .pieces import neighbour
 
 
 def whitelist(start: Column, times: Column) -> Column:
@@ -122,7 +123,6 @@ def apply_revisions(events: DataFrame, revisions: DataFrame, run: str = "run_id"
 def timeline_gaps(events: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Neighbouring events whose times do not meet: (key, order..., end_sec,
     next_start_sec, gap_sec); negative gaps are overlaps."""
-    w = W.partitionBy(key).orderBy(*order)
     e = events.select(key, *order, parse_seconds(F.col("end_time")).alias("end_sec"), parse_seconds(F.col("start_time")).alias("_s"))
-    e = e.withColumn("next_start_sec", F.lead("_s").over(w)).drop("_s")
+    e = neighbour(e, key, order, F.col("_s"), "next_start_sec", ahead=True).drop("_s")
     return e.withColumn("gap_sec", F.col("next_start_sec") - F.col("end_sec")).where(F.abs("gap_sec") >= 0.01)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..common import cut
 from ..functions import text as X
 from ..operators import identity as I
+from ..operators.pieces import numbered
 from ..operators import sampling as S
 from ..sources import adapters as A
 from . import sqlparts as P
@@ -32,7 +33,7 @@ def candidate_dedup(spark: SparkSession, d: str) -> D:
 
 
 def _placed(spark: SparkSession, d: str) -> D:
-    return _candidates(spark, d).withColumn("p", F.row_number().over(W.partitionBy("run_id").orderBy("ch_idx", *PLACE)))
+    return numbered(_candidates(spark, d), "run_id", ["ch_idx", *PLACE], "p")
 
 
 def _mappings(spark: SparkSession, d: str) -> D:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from storyflow.functions import text as X
 from storyflow.operators import chapters as C
 from storyflow.operators import identity as I
+from storyflow.operators import pieces
 from storyflow.operators import refine as R
 from storyflow.operators import sampling as S
 from storyflow.operators import snap
@@ -189,3 +190,18 @@ def test_scenes_far_beyond_the_video(spark):
     scenes = spark.createDataFrame([("v", 0, 10.0, 1e15), ("v", 1, 1e14, 1e15), ("w", 0, 0.0, 9.0)], "video_id string, scene_idx int, start_sec double, end_sec double")
     got = sorted(tuple(r) for r in S.clip_scenes(scenes, chunks, "video_id").collect())
     assert got == [("v", 0, 0.0, 60.0, 0, 10.0, 60.0), ("v", 1, 60.0, 90.0, 0, 60.0, 90.0)]
+
+
+def test_neighbours_and_numbers_over_pieces(spark):
+    random.seed(9)
+    rows = [(k, p, i, random.choice([None, 1.0, 2.5, 7.0])) for k in ("a", "b", None) for p in (0, 3, 4, 9) for i in range(random.choice([1, 2, 30]))]
+    df = spark.createDataFrame(rows, "k string, p int, i int, v double").withColumns({"_size": F.lit(1), "x": F.lit("y")}).drop("_size")
+    want, by = {}, {}
+    for r in sorted(rows, key=lambda r: (r[0] or "", r[1], r[2])):
+        by.setdefault(r[0], []).append(r)
+    for k, rs in by.items():
+        for n, r in enumerate(rs):
+            want[r[:3]] = (rs[n - 1][3] if n else None, rs[n + 1][3] if n + 1 < len(rs) else None, n + 1)
+    out = pieces.numbered(pieces.neighbour(pieces.neighbour(df, "k", ["p", "i"], F.col("v"), "before"), "k", ["p", "i"], F.col("v"), "after", ahead=True), "k", ["p", "i"], "n")
+    assert {(r.k, r.p, r.i): (r.before, r.after, r.n) for r in out.collect()} == want
+    assert pieces.numbered(df.limit(0), "k", ["p", "i"], "n").count() == 0
