@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 #: Blanks and brackets that may surround a time.
 EDGE = " \t\r\n 　﻿[](){}【】「」（）"
 _STRICT = r"^[0-9]{2,}:[0-5][0-9]:[0-5][0-9](\.[0-9]{1,3})?$"
+#: The form as it stands or in square brackets.
+_PLAIN = r"^\[?[0-9]{2,}:[0-5][0-9]:[0-5][0-9](\.[0-9]{1,3})?\]?$"
 #: The same form inside a longer text, not glued to further digits or parts.
 _INSIDE = r"(?<![0-9:.])[0-9]{2,}:[0-5][0-9]:[0-5][0-9](?:\.[0-9]{1,3})?(?![0-9:.])"
 
@@ -32,7 +34,8 @@ def readable_ms(x: Column) -> Column:
     minutes, two-part times and words give null; an hour count beyond 2e9 too.
     """
     t = F.btrim(x, F.lit(EDGE))
-    return F.when(t.rlike(_STRICT), plain_ms(t))
+    # Nearly all stand in brackets or bare; only the others are trimmed of every edge character.
+    return F.when(x.rlike(_PLAIN), plain_ms(F.btrim(x, F.lit("[]")))).when(t.rlike(_STRICT), plain_ms(t))
 
 
 def range_texts(x: Column) -> Column:
@@ -55,7 +58,25 @@ def parse_seconds(x: Column) -> Column:
     Outer brackets and spaces are stripped, exactly three ``:`` parts are
     needed, the third is split at points: first piece whole, second as decimal
     fraction, further ones ignored. No range checks: minute 75 and negatives pass.
+
+    A text of plain digits, as nearly all are, is read without splitting.
     """
+    t = F.btrim(x, F.lit("[] "))
+    return F.when(t.rlike(_DIGITS), _digit_seconds(t)).otherwise(_any_seconds(x))
+
+
+#: Three parts of plain digits, the last with a plain fraction or none.
+_DIGITS = r"^[0-9]{1,15}:[0-9]{1,15}:[0-9]{1,15}(\.[0-9]{1,15})?$"
+
+
+def _digit_seconds(t: Column) -> Column:
+    number = lambda c: c.cast("bigint").cast("double")
+    last = F.substring_index(t, ":", -1)
+    frac = F.when(F.contains(t, F.lit(".")), F.concat(F.lit("0."), F.substring_index(t, ".", -1)).cast("double")).otherwise(F.lit(0.0))
+    return number(F.substring_index(t, ":", 1)) * 3600 + number(F.substring_index(F.substring_index(t, ":", 2), ":", -1)) * 60 + number(F.substring_index(last, ".", 1)) + frac
+
+
+def _any_seconds(x: Column) -> Column:
     whole = r"^\s*[+-]?[0-9]+\s*$"
     p = F.split(F.btrim(x, F.lit("[] ")), ":", -1)
     sec = F.split(F.get(p, F.lit(2)), r"\.", -1)

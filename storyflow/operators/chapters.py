@@ -22,10 +22,9 @@ def _with_bounds(chapters: DataFrame, key: str) -> DataFrame:
 def _bucket(t: Column, width: float, even: int = 1008) -> Column:
     """The time bucket of ``t`` seconds: ``even`` buckets of ``width``, beyond
     them 64 for every doubling. Never falls as ``t`` grows, below zero too."""
-    size = F.abs(t)
-    far = even + F.floor(F.log2(F.greatest(size, F.lit(width * even)) / (width * even)) * 64)
-    b = F.when(size < width * even, F.floor(size / width)).otherwise(far).cast("bigint")
-    return F.when(t < 0, -b - 1).otherwise(b)
+    edge = width * even
+    far = even + F.floor(F.log2(F.abs(t) / edge) * 64)
+    return F.when(t.between(-edge, edge), F.floor(t / width)).when(t < 0, -far - 1).otherwise(far).cast("bigint")
 
 
 def mount(events: DataFrame, chapters: DataFrame, key: str = "run_id", bucket: float = 600.0, once: bool = False) -> DataFrame:
