@@ -55,7 +55,8 @@ def rewrite(text: Column, pattern: Column, table: Column) -> Column:
     stays as it is."""
     parts = F.split(text, pattern, -1)
     hits = F.regexp_extract_all(text, pattern, F.lit(0))
-    mixed = F.transform(parts, lambda p, i: F.concat(p, F.coalesce(F.try_element_at(table, F.coalesce(F.get(hits, i), F.lit(""))), F.lit(""))))
+    # Zipped, so that neither list is made again for each element; the last part has no match after it.
+    mixed = F.zip_with(parts, hits, lambda p, hit: F.concat(p, F.coalesce(F.try_element_at(table, F.coalesce(hit, F.lit(""))), F.lit(""))))
     return F.when(pattern.isNull() | text.isNull(), text).otherwise(F.array_join(mixed, ""))
 
 

@@ -33,10 +33,15 @@ def candidate_dedup(spark: SparkSession, d: str) -> D:
 
 
 def _placed(spark: SparkSession, d: str) -> D:
+    """Computed once: rows and sizes of pieces, decisions and sightings all read it."""
+    return cut(_numbered(spark, d))
+
+
+def _numbered(spark: SparkSession, d: str) -> D:
     return numbered(_candidates(spark, d), "run_id", ["ch_idx", *PLACE], "p")
 
 
-def _mappings(spark: SparkSession, d: str) -> D:
+def _mappings(placed: D) -> D:
     """Recorded decisions of a matching model stand in as a rule over places."""
     p = F.col("p")
     own = F.struct(
@@ -45,29 +50,30 @@ def _mappings(spark: SparkSession, d: str) -> D:
     )
     twice = F.when(p % 4 == 0, F.struct(F.lit(1).alias("j"), F.col("temp_name").alias("name"), F.lit("NEW").alias("m"), F.lit(10).alias("c")))
     ghost = F.when(p % 5 == 0, F.struct(F.lit(2).alias("j"), F.concat(F.lit("nobody "), p.cast("string")).alias("name"), F.lit("NEW").alias("m"), F.lit(90).alias("c")))
-    x = _placed(spark, d).select("run_id", "ch_idx", "p", F.explode(F.filter(F.array(own, twice, ghost), lambda y: y.isNotNull())).alias("x"))
+    x = placed.select("run_id", "ch_idx", "p", F.explode(F.filter(F.array(own, twice, ghost), lambda y: y.isNotNull())).alias("x"))
     return x.select("run_id", "ch_idx", "p", "x.j", F.col("x.name").alias("temp_name_in_chunk"), F.col("x.m").alias("match_result"), F.col("x.c").alias("confidence_score"))
 
 
-def _kept(spark: SparkSession, d: str) -> D:
-    return I.dedup_mappings(_mappings(spark, d), _candidates(spark, d), CHUNK, ["p", "j"])
+def _kept(placed: D) -> D:
+    return I.dedup_mappings(_mappings(placed), placed, CHUNK, ["p", "j"])
 
 
 def mapping_dedup(spark: SparkSession, d: str) -> D:
-    return _kept(spark, d).select(*CHUNK, "p", "j", "temp_name", "match_result", "confidence_score")
+    return _kept(_placed(spark, d)).select(*CHUNK, "p", "j", "temp_name", "match_result", "confidence_score")
 
 
-def _folded(spark: SparkSession, d: str) -> D:
-    return I.fold_clusters(_kept(spark, d))
+def _folded(placed: D) -> D:
+    return I.fold_clusters(_kept(placed))
 
 
 def cluster_fold(spark: SparkSession, d: str) -> D:
-    return _folded(spark, d)
+    return _folded(_placed(spark, d))
 
 
 def low_conf_flags(spark: SparkSession, d: str) -> D:
-    k = _kept(spark, d).select("run_id", "p", "ch_idx", "temp_name", "confidence_score")
-    return _folded(spark, d).where("low_conf").join(k, ["run_id", "p"]).select("run_id", "ch_idx", "temp_name", "cluster_id", "confidence_score")
+    placed = _placed(spark, d)
+    k = _kept(placed).select("run_id", "p", "ch_idx", "temp_name", "confidence_score")
+    return _folded(placed).where("low_conf").join(k, ["run_id", "p"]).select("run_id", "ch_idx", "temp_name", "cluster_id", "confidence_score")
 
 
 def _sightings(spark: SparkSession, d: str) -> D:
@@ -76,7 +82,8 @@ def _sightings(spark: SparkSession, d: str) -> D:
 
 
 def _joined(spark: SparkSession, d: str) -> D:
-    return _placed(spark, d).select("run_id", "p", "ch_idx", "temp_name", "descr", "anchor_ts").join(_folded(spark, d).select("run_id", "p", "cluster_id"), ["run_id", "p"])
+    placed = _placed(spark, d)
+    return placed.select("run_id", "p", "ch_idx", "temp_name", "descr", "anchor_ts").join(_folded(placed).select("run_id", "p", "cluster_id"), ["run_id", "p"])
 
 
 def cluster_sightings(spark: SparkSession, d: str) -> D:
