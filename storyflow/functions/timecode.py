@@ -103,3 +103,21 @@ def format_millis(sec: Column) -> Column:
     s = whole + F.when(ms >= 1000, 1).otherwise(0)
     ms = F.when(ms >= 1000, F.lit(0).cast("bigint")).otherwise(ms)
     return F.format_string("[%02d:%02d:%02d.%03d]", F.floor(s / 3600), F.floor(F.pmod(s, F.lit(3600)) / 60), F.pmod(s, F.lit(60)), ms)
+
+
+def round_millis(x: Column) -> Column:
+    """``x`` rounded to three decimals by its exact binary value, halves to even.
+
+    ``bround`` rounds the shortest decimal text of a number, which differs where
+    that text ends in a five that the number itself is not: 2.0005 is a little
+    more than it says. Here the product with 1000 is split into its rounded value
+    and its exact error, so that the nearest integer is known without doubt.
+    """
+    p = x * 1000.0
+    c = x * 134217729.0  # halves of 26 bits, whose products with 1000 are exact
+    high = c - (c - x)
+    error = (high * 1000.0 - p) + (x - high) * 1000.0
+    f = F.floor(p).cast("double")
+    over = (p - f - 0.5) + error
+    n = F.when(over > 0, f + 1).when(over < 0, f).otherwise(f + F.pmod(f, F.lit(2.0)))
+    return F.when(F.abs(x) < 1e12, n / 1000.0).otherwise(x)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions.timecode import round_millis
 from ..operators import chapters as C
 from ..operators import identity as I
 from ..operators import refine as R
@@ -185,7 +186,7 @@ def refine(ws: Workspace, story: DataFrame, videos: DataFrame, decoder: media.De
         row = now.join(shots, "item").join(prev, ["video_id", "ch_idx"], "left")
         images = F.transform("shots", lambda x: model.image_part(x["jpeg"]))
         words = model.text_part(prompts.filled(("Caption before", F.col("prev")), ("Draft", F.col("step3_synthesized_dense_caption"))))
-        row = row.withColumn("frame_timestamps", F.transform("shots", lambda x: F.bround(x["ts"], 3)))
+        row = row.withColumn("frame_timestamps", F.transform("shots", lambda x: round_millis(x["ts"])))
         rq = model.requests(row, "refinement", F.lit(prompts.REFINE), F.concat(images, F.array(words)), cfg.refine_max_tokens, cfg.refine_temperature, want="text").drop("shots", "turn")
         answers = _ask(ws, f"refine/answers/turn={t}", rq, backend)
         own = ws.put(f"refine/told/turn={t}", answers.where("status = 'ok'").select("video_id", "ch_idx", "ord", F.col("answer").alias("frame_caption"), "frame_timestamps"))

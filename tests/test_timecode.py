@@ -38,3 +38,14 @@ def test_lenient_seconds(spark):
 def test_formats_round_half_to_even_and_carry(spark):
     assert column(spark, [0.5, 1.5, 2.5, 3599.5, 360000.0], T.format_seconds, "double") == ["[00:00:00]", "[00:00:02]", "[00:00:02]", "[01:00:00]", "[100:00:00]"]
     assert column(spark, [0.9996, 59.9999, 1.25, 0.0], T.format_millis, "double") == ["[00:00:01.000]", "[00:01:00.000]", "[00:00:01.250]", "[00:00:00.000]"]
+
+
+def test_round_millis_is_by_the_exact_value(spark):
+    import random
+
+    random.seed(4)
+    xs = [0.0, 2.0005, 1.0005, 0.0625, 0.1875, 0.0005, 0.9995, 12.3456, 3599.9995, 1e11 + 0.0625, 5e14, -0.0625, -2.0005, -0.0004]
+    xs += [random.random() * 10 ** random.randrange(0, 7) for _ in range(3000)] + [k / 2000 for k in range(1, 4000, 2)] + [k / 16 for k in range(500)]
+    got = [r[0] for r in spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double").orderBy("i").select(T.round_millis(F.col("x"))).collect()]
+    assert got == [round(x, 3) for x in xs]
+    assert spark.sql("SELECT CAST(null AS DOUBLE) AS x").select(T.round_millis(F.col("x"))).first()[0] is None
