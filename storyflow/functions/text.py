@@ -74,3 +74,11 @@ def signature(model: Column, chunk_sec: int, payload: str, frames: int, scene: f
         sanitize(model),
         F.lit(f"__chk{chunk_sec}s__{payload}__mf{frames}__sc{str(scene).replace('.', '_')}__fw{width}__ovlp{overlap}"),
     )
+
+
+def run_dir(root: Column, path: Column, name: Column) -> Column:
+    """The folder of one video's run: the root, the video's safe name without
+    its last extension, the settings' name. A name that begins with its only dot
+    has no extension."""
+    stem = F.regexp_replace(F.substring_index(path, "/", -1), r"^(.*[^.].*)\.[^.]*$", "$1")
+    return F.concat_ws("/", F.rtrim(root, F.lit("/")), sanitize(stem), name)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..common import ship
+from ..functions import text as X
 from ..operators import usage as U
 from ..sources import storyboards
 from ..sources.videos import discover
@@ -103,6 +104,8 @@ def run_batch(spark: SparkSession, cfg: Config, input_path: str, output: str, ba
     late = stages.ended_by(answers.where("stage <> 'perception'"), cfg).select("video_id", F.concat_ws(": ", "stage", "error").alias("_late"))
     runs = meta.select("video_id", "path").join(status, "video_id", "left").join(late, "video_id", "left").withColumn("error", F.coalesce("error", "_late"))
     runs = runs.select("video_id", "path", F.when(F.col("total").isNull(), "unreadable").when(F.col("error").isNotNull(), "failed").otherwise("completed").alias("status"), "error")
+    name = X.signature(F.lit(cfg.model_name), cfg.chunk_duration_sec, cfg.input_payload_format, cfg.max_frames_per_chunk, cfg.scene_detect_threshold, cfg.frame_max_width, cfg.prev_event_overlap_count)
+    runs = runs.withColumn("run_dir", X.run_dir(F.lit(output), F.col("path"), name))
     runs = ws.put("runs", runs)
     # One row for each video and call of the batch is added, never replaced.
     log = runs.withColumns({"started_at": F.lit(began).cast("timestamp"), "ended_at": F.current_timestamp(), "config_hash": F.lit(d)})

@@ -161,6 +161,13 @@ def run_signature(spark: SparkSession, d: str) -> D:
     return r.select("config_hash", X.signature(F.concat(F.lit("model/"), "config_hash"), 60, "image_list", 240, 27.0, 960, 0).alias("signature"))
 
 
+def run_dir(spark: SparkSession, d: str) -> D:
+    """Also over paths without an extension, with several dots and with a leading dot."""
+    forms = F.array("path", F.concat("path", F.lit(".part")), F.concat(F.lit("/in/."), "ext"), F.concat(F.lit("in/"), "video_id"), F.concat(F.lit("/in/a?."), "video_id", F.lit(".")))
+    v = load(spark, d, "videos").select(F.explode(forms).alias("path")).distinct()
+    return v.select("path", X.run_dir(F.lit("/out/"), F.col("path"), X.signature(F.lit("m"), 60, "image_list", 240, 27.0, 960, 0)).alias("run_dir"))
+
+
 def json_fence_clean(spark: SparkSession, d: str) -> D:
     raw = load(spark, d, "raw_storyboards").select("run_id", "payload").distinct()
     made = F.array(F.concat(F.lit("```json\n"), "payload", F.lit("\n```")), F.concat(F.lit(" \n```"), "payload", F.lit("``` ")), F.concat(F.lit("note: "), "payload"))
@@ -184,7 +191,7 @@ QUERIES = {
     for f in (
         chapter_mount, chapter_mount_once, chapter_overflow, chapter_lost, chapter_fallback_single, last_wins_bank, event_characters, timeline_text, chunk_summaries, bank_text,
         story_so_far, stage2_start_adjust, previous_caption, refine_progress, polish_payload, final_caption, storyboard_flat, token_by_stage, token_by_video, token_rollup,
-        latest_runs, batch_status, discover_videos, sanitize_name, run_signature, json_fence_clean, props_json, zip_positions,
+        latest_runs, batch_status, discover_videos, sanitize_name, run_signature, run_dir, json_fence_clean, props_json, zip_positions,
     )
 }
 
@@ -269,6 +276,11 @@ SQL = {
     "discover_videos": "SELECT video_id,path,lower(regexp_extract(path,'\\.[^./]*$')) AS ext FROM videos WHERE lower(regexp_extract(path,'\\.[^./]*$')) IN ('.mp4','.mkv','.avi','.mov','.webm','.flv')",
     "sanitize_name": "SELECT DISTINCT name,COALESCE(nullif(trim(regexp_replace(name,'[<>:\"/\\\\|?*\\x00-\\x1f]','_','g'),' .'),''),'unnamed') AS safe FROM (SELECT unnest([path,' .'||path||'?*. ',' . ']) AS name FROM videos)",
     "run_signature": "SELECT DISTINCT config_hash,'model_'||config_hash||'__chk60s__image_list__mf240__sc27_0__fw960__ovlp0' AS signature FROM runs",
+    "run_dir": (
+        "WITH p AS (SELECT DISTINCT unnest([path,path||'.part','/in/.'||ext,'in/'||video_id,'/in/a?.'||video_id||'.']) AS path FROM videos),b AS (SELECT path,list_last(string_split(path,'/')) AS n FROM p),"
+        "c AS (SELECT path,n,string_split(n,'.') AS ps FROM b),s AS (SELECT path,CASE WHEN len(ps)>1 AND len(replace(array_to_string(ps[:len(ps)-1],'.'),'.',''))>0 THEN array_to_string(ps[:len(ps)-1],'.') ELSE n END AS stem FROM c)"
+        "SELECT path,'/out/'||COALESCE(nullif(trim(regexp_replace(stem,'[<>:\"/\\\\|?*\\x00-\\x1f]','_','g'),' .'),''),'unnamed')||'/m__chk60s__image_list__mf240__sc27_0__fw960__ovlp0' AS run_dir FROM s"
+    ),
     "json_fence_clean": (
         "WITH r AS (SELECT DISTINCT run_id,payload FROM raw_storyboards),x AS (SELECT run_id,0 AS form,'```json'||chr(10)||payload||chr(10)||'```' AS t FROM r UNION ALL SELECT run_id,1,' '||chr(10)||'```'||payload||'``` ' FROM r UNION ALL SELECT run_id,2,'note: '||payload FROM r),"
         "a AS (SELECT run_id,form,regexp_replace(t,'^\\s+|\\s+$','','g') AS t FROM x),b AS (SELECT run_id,form,CASE WHEN starts_with(t,'```json') THEN t[8:] WHEN starts_with(t,'```') THEN t[4:] ELSE t END AS t FROM a),"

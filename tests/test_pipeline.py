@@ -224,6 +224,7 @@ def test_a_failed_call_of_a_later_stage_fails_its_video_only(spark, tmp_path):
     assert spark.read.parquet(out["root"] + "/align/answers").where("status = 'failed'").first().answer == "no json at all"
     assert {r.stage for r in calls.join(spark.read.parquet(out["root"] + "/runs").where("status = 'failed'"), "video_id").collect()} == {"perception", "alignment"}
     numbers = json.loads(spark.read.text(out["root"] + "/summary.json", wholetext=True).first()[0])
+    assert all(r.run_dir.endswith(f"out/{r.path.rsplit(chr(47), 1)[1][:-4]}/model__chk60s__image_list__mf3__sc27_0__fw960__ovlp0") for r in spark.read.parquet(out["root"] + "/runs").collect())
     assert numbers["status"] == {"completed": 1, "failed": 1} and numbers["seconds"] > 0 and numbers["tokens"]["total_tokens"] > 0
 
 
